@@ -74,8 +74,10 @@ def _stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, sf_dir: str, stem: bool = False) -> DataFrame:
-    pages = _pages(spark, sf_dir)
-    make = lambda: stored(index_build.page_counts(pages, stem=stem), "term_documents")
+    def make() -> DataFrame:
+        counts = index_build.page_counts(_pages(spark, sf_dir), stem=stem)
+        return stored(counts, "term_documents")
+
     return _once(spark, ("counts", sf_dir, stem), make)
 
 
@@ -236,7 +238,7 @@ def _term_frequency(field: str) -> Query:
 
 
 def term_doc_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = _stopped(spark, sf_dir)
+    words = stored(_stopped(spark, sf_dir), "words")
     return count_ops.merge_term_frequencies(
         [count_ops.term_frequency(words, field) for field in v.FIELDS]
     )

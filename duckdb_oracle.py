@@ -425,7 +425,7 @@ def statements() -> dict[str, str]:
             [*STEMMED, *STEMMED_QUERY_TERMS, SCORES, RANKED],
             "SELECT query_id, key, score, rank FROM ranked",
         ),
-        "word_count_docs": """SELECT word, count(*) AS count FROM (
+        "word_count_docs": r"""SELECT word, count(*) AS count FROM (
             SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
             WHERE word <> '' GROUP BY word""",
         "keyed_sink": statement(DOCUMENTS, f"SELECT Id, {FIELD_COLUMNS} FROM fielded"),

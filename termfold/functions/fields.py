@@ -16,19 +16,30 @@ from termfold.functions.clean import strip
 BRACES = re.compile(r"\{\{|\}\}")
 
 
+# The parts below are cut out without CASE branches: Spark evaluates a common
+# subexpression, here the whole page, only once where no branch is in the way.
+
+
 def last_part(text: Column, landmark: str) -> Column:
     """What follows the last landmark; the whole text if there is none."""
     return F.substring_index(text, landmark, -1)
 
 
 def before_last(text: Column, landmark: str) -> Column:
-    """What precedes the last landmark, '' if there is none.
+    """What precedes the last landmark, '' if there is none: the length is negative then.
 
     Two linear scans. The regex ``(?s)(.*)landmark`` is quadratic on a long text
     without the landmark, as the matcher tries every start position.
     """
     kept = F.length(text) - F.length(last_part(text, landmark)) - len(landmark)
-    return F.when(F.contains(text, F.lit(landmark)), F.substring(text, F.lit(1), kept)).otherwise(F.lit(""))
+    return F.substring(text, F.lit(1), kept)
+
+
+def after_last(text: Column, landmark: str) -> Column:
+    """What follows the last landmark, '' if there is none: the length is zero then."""
+    part = last_part(text, landmark)
+    found = F.contains(text, F.lit(landmark)).cast("int")
+    return F.substring(part, F.lit(1), F.length(part) * found)
 
 
 def extract_categories(text: Column) -> Column:
@@ -38,10 +49,8 @@ def extract_categories(text: Column) -> Column:
 def extract_external_links(text: Column) -> Column:
     """From the last links heading that a category follows, up to that category; '' if none."""
     with_heading = before_last(text, v.CATEGORY_OPEN)
-    section = F.substring_index(last_part(with_heading, v.LINKS_HEADING), v.CATEGORY_OPEN, 1)
-    return F.when(
-        F.contains(with_heading, F.lit(v.LINKS_HEADING)), strip(section, v.REGEX_SPACE)
-    ).otherwise(F.lit(""))
+    section = F.substring_index(after_last(with_heading, v.LINKS_HEADING), v.CATEGORY_OPEN, 1)
+    return strip(section, v.REGEX_SPACE)
 
 
 def extract_body(text: Column, keep_body_without_links: bool = False) -> Column:

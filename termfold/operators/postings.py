@@ -51,7 +51,7 @@ def inverted_index(counts: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataF
     return (
         with_segment(counts, frequent)
         .groupBy("Word", "segment")
-        .agg(F.array_sort(F.collect_list(scoring.posting())).alias("Postings"))
+        .agg(F.sort_array(F.collect_list(scoring.posting())).alias("Postings"))
     )
 
 

@@ -11,7 +11,7 @@ from termfold.operators.documents import field_documents, stemmed_documents, tok
 from termfold.operators.lookup import secondary_index
 from termfold.operators.postings import SEGMENT_SIZE, inverted_index
 from termfold.operators.ranking import vocabulary_rank, with_batch
-from termfold.session import stored
+from termfold.session import reused, scratch_run, stored
 
 
 def batched_vocabulary(counts: DataFrame, batch_size: int = v.BATCH_SIZE) -> DataFrame:
@@ -90,9 +90,9 @@ def write_index(
     segment_size: int = SEGMENT_SIZE,
 ) -> None:
     """Write ``<path>/primary`` and ``<path>/secondary`` from stored term-document counts."""
-    vocabulary = batched_vocabulary(counts, batch_size)
-    write_primary(batched_postings(counts, vocabulary, segment_size), f"{path}/primary")
-    write_secondary(secondary_index(vocabulary), f"{path}/secondary")
+    with reused(batched_vocabulary(counts, batch_size)) as vocabulary:
+        write_secondary(secondary_index(vocabulary), f"{path}/secondary")
+        write_primary(batched_postings(counts, vocabulary, segment_size), f"{path}/primary")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -124,5 +124,6 @@ def build_index(
     The counts are stored once; frequencies, ranks and postings read them back,
     so pages are parsed, cleaned and stemmed a single time.
     """
-    counts = stored(page_counts(pages, **counting), "term_documents")
-    write_index(counts, path, batch_size, segment_size)
+    with scratch_run(pages.sparkSession):
+        counts = stored(page_counts(pages, **counting), "term_documents")
+        write_index(counts, path, batch_size, segment_size)

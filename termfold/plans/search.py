@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termfold import values as v
 from termfold.functions import scoring, stemming, tokens
-from termfold.operators.lookup import locate_words
+from termfold.operators.lookup import locate_words, secondary_lookup
 from termfold.operators.ranking import ranked
 from termfold.session import stored
 
-# Up to this many distinct words the batches to read are worked out beforehand.
+# Up to this many distinct words are looked up one by one before the index is read.
 PRUNED_WORDS = 500
 # Hits per result document. A query with more gets several documents.
 RESULTS_PER_DOCUMENT = 100_000
 
 
+def single_query(spark: SparkSession, text: str) -> DataFrame:
+    return spark.createDataFrame([(0, text)], "query_id long, query string")
+
+
 def query_terms(queries: DataFrame, stem: bool = True, stemmer: str = "extended") -> DataFrame:
     """``(query_id, Word, repeats)`` from ``(query_id, query)``; repeats count twice in the score."""
     words = tokens.query_words(F.col("query"))
@@ -32,17 +36,22 @@ def query_terms(queries: DataFrame, stem: bool = True, stemmer: str = "extended"
 def term_lookup(terms: DataFrame, primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """``(query_id, Word, repeats, segment, Postings)`` of all terms in the index.
 
-    A few words are looked up in the secondary index first; only their batches
-    are read and the words are pushed down to the scan. Many words touch most
-    batches anyway, so the index is then joined as a whole.
+    Words are looked up in the secondary index first, so that only their batches
+    are read: a few words on the driver, which also pushes them down to the scan,
+    many words as a join whose batch column prunes the scan at run time.
     """
     words = [row.Word for row in terms.select("Word").distinct().limit(PRUNED_WORDS + 1).collect()]
     if len(words) <= PRUNED_WORDS:
         located = locate_words(secondary, words)
-        primary = primary.filter(
-            F.col("batch").isin(sorted(set(located.values()))) & F.col("Word").isin(sorted(located))
-        )
-    return primary.drop("batch").join(terms, "Word")
+        batches = F.col("batch").isin(sorted(set(located.values())))
+        found = primary.filter(batches & F.col("Word").isin(sorted(located))).join(terms, "Word")
+    else:
+        located = secondary_lookup(terms.select("Word").distinct(), secondary)
+        placed = stored(terms.join(located, "Word"), "placed_terms")
+        # Always true, but pruning at run time needs a comparison on the smaller side.
+        placed = placed.filter(F.col("batch") >= 0)
+        found = primary.join(placed, ["batch", "Word"])
+    return found.select("query_id", "Word", "repeats", "segment", "Postings")
 
 
 def score_documents(found: DataFrame, weights: dict[str, int] = v.WEIGHTS) -> DataFrame:
@@ -87,7 +96,7 @@ def result_documents(
     """
     number = F.floor((F.col("rank") - 1) / results_per_document)
     results = F.transform(
-        F.array_sort(F.collect_list(F.struct("rank", "key", "score"))),
+        F.sort_array(F.collect_list(F.struct("rank", "key", "score"))),
         lambda hit: F.struct(hit["key"].alias("key"), hit["score"].alias("score")),
     )
     hits = (

@@ -6,12 +6,14 @@ import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> SparkSession:
     """A session for tests and single-machine runs; on a cluster use spark-submit's."""
@@ -62,7 +64,25 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_folder(spark)}/termfold/{uuid.uuid4().hex}/{name}"
+    """A new path in the scratch folder, inside the current run's folder if there is one."""
+    folder = _run_folder.get() or f"{scratch_folder(spark)}/termfold"
+    return f"{folder}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession):
+    """Delete what the block stored in the scratch folder when it ends.
+
+    For jobs that leave their result elsewhere: no DataFrame may outlive the block.
+    """
+    folder = f"{scratch_folder(spark)}/termfold/run-{uuid.uuid4().hex}"
+    outer = _run_folder.set(folder)
+    try:
+        yield
+    finally:
+        _run_folder.reset(outer)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -1,0 +1,128 @@
+"""Hand-written pages through cleaning and fielding."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from termfold.functions import clean, fields
+from termfold.operators.documents import field_documents, sample_pages, split_infobox
+
+
+@pytest.mark.parametrize(
+    "text, infobox, rest",
+    [
+        ("{{infobox a {{b}} c}} rest", "a {{b}} c", "rest"),
+        ("x {{infobox a}} y {{infobox b}} z", "a b", "z"),
+        ("x {{infobox a", "", "{{infobox a"),
+        ("x {{infobox a}} y {{infobox b", "a", "{{infobox b"),
+        (" x ", "", "x"),
+        ("", "", ""),
+        ("{{infobox}}", "", ""),
+        ("{{infobox a {{infobox b}} c}} d", "a {{infobox b}} c", "d"),
+        ("{{{infobox a {{{b}}} c}} d", "a {{{b}}} c", "d"),
+        ("{{infobox {{a {{b {{c}} d}} e}} f}} g", "{{a {{b {{c}} d}} e}} f", "g"),
+    ],
+)
+def test_infobox(spark, text, infobox, rest):
+    df = spark.createDataFrame([("1", text)], "Id string, Text string")
+    row = split_infobox(df).first()
+    assert (row.Infobox, row.Text) == (infobox, rest)
+
+
+def test_infobox_of_a_long_page_is_found_whole(spark):
+    box = "{{infobox " + "{{a|b}} " * 20_000 + "}}"
+    df = spark.createDataFrame([("1", "lead " + box + " body")], "Id string, Text string")
+    row = split_infobox(df).first()
+    assert row.Infobox == ("{{a|b}} " * 20_000).strip()
+    assert row.Text == "body"
+
+
+def test_no_links_heading_gives_an_empty_body(page):
+    row = page("plain")
+    assert row["Text"] == "" and row["External_Links"] == ""
+    assert page("plain", keep_body_without_links=True)["Text"] == "plain"
+
+
+@pytest.mark.parametrize(
+    "text, links, body",
+    [
+        ("a external links b [[category:c]]", "b", "a "),
+        ("a external links b external links c [[category:d]] e", "c", "a external links b "),
+        # the last heading that a category follows, but the last heading for the body
+        ("a external links b [[category:c]] external links d", "b", "a external links b [[category:c]] "),
+        ("external links \n [[category:c]] x [[category:d]]", "", ""),
+        ("[[category:c]] external links d", "", "[[category:c]] "),
+        ("external linksx[[category", "x", ""),
+        ("external links", "", ""),
+    ],
+)
+def test_links_and_body(spark, text, links, body):
+    df = spark.createDataFrame([(text,)], "t string")
+    t = F.col("t")
+    row = df.select(
+        fields.extract_external_links(t).alias("links"),
+        fields.extract_body(t).alias("body"),
+        # The same as patterns, as far as they are fit for short texts.
+        F.regexp_extract(t, r"(?s)\A.*external links\s*([\s\S]*?)\s*\[\[category", 1).alias("links2"),
+        F.regexp_extract(t, r"(?s)\A(.*)external links", 1).alias("body2"),
+    ).first()
+    assert (row.links, row.body) == (links, body) == (row.links2, row.body2)
+
+
+def test_category_names_lose_their_markup(page):
+    assert page("[[category:solar-system|x]] [[Category: b c ]]")["Categories"] == "solarsystemx b c"
+
+
+def test_a_category_ends_on_its_line(page):
+    assert page("[[category:a\nb]] [[category:c]]")["Categories"] == "c"
+
+
+def test_non_ascii_inside_a_word(page):
+    body = "naïve external links"
+    assert page(body)["Text"] == "nave"
+    assert page(body, cleaning="single_pass")["Text"] == "na ve"
+
+
+def test_citations_files_and_tags_go(page):
+    body = "a{{cite web|url=x}}b [[File:p.png|thumb]] <ref name='q'>c</ref> {{vcite\nz}}d external links"
+    assert page(body)["Text"] == "ab c d"
+    assert page(body, cleaning="single_pass")["Text"] == "a b c d"
+
+
+def test_unclosed_markup_stays(spark):
+    df = spark.createDataFrame([("{{cite a} <b [[file:c",)], "t string")
+    assert df.select(clean.clean_body_sequential(F.col("t"))).first()[0] == "{{cite a} <b [[file:c"
+
+
+def test_title_keeps_punctuation_unless_asked(page):
+    assert page("", title="Pluto (planet) - It's  é")["Title"] == "pluto (planet) it's é"
+    assert page("", title="Pluto (planet) é", clean_title=True)["Title"] == "pluto planet"
+
+
+def test_missing_body_counts_as_empty(page):
+    row = page(None)
+    assert [row[f] for f in ("Text", "Categories", "Infobox", "External_Links")] == [""] * 4
+
+
+def test_squeezing_in_one_scan_equals_the_steps(spark):
+    texts = ["  a\n\n-b ", "\t{x}|y\\z\n", "", "a   b", "\n", "*~`!@#$%^&+[]<>/?,:"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    squeeze = clean.squeeze_whitespace
+    rows = df.select(
+        clean.squeeze_junk(t).alias("a"),
+        squeeze(clean.strip_junk(t)).alias("b"),
+        clean.squeeze_infobox(t).alias("c"),
+        squeeze(clean.clean_infobox(t)).alias("d"),
+    ).collect()
+    assert all(row.a == row.b and row.c == row.d for row in rows)
+
+
+def test_sample_takes_the_lowest_ids(spark):
+    pages = spark.createDataFrame([(str(i), "t", "x") for i in (10, 9, 100, 2)], "Id string, Title string, Text string")
+    assert [row.Id for row in sample_pages(pages, 2).collect()] == ["2", "9"]
+
+
+def test_cleaning_is_evaluated_once(spark):
+    pages = spark.createDataFrame([("1", "t", "x")], "Id string, Title string, Text string")
+    plan = field_documents(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\[\[file:") == 1
