@@ -11,7 +11,7 @@ from termfold.functions import clean, fields, stemming, tokens
 
 def sample_pages(pages: DataFrame, size: int) -> DataFrame:
     """The ``size`` pages with the lowest ids; the order makes the choice repeatable."""
-    return pages.orderBy(F.col("Id").cast("long"), "Id").limit(size)
+    return pages.orderBy(F.col("Id").try_cast("long"), "Id").limit(size)
 
 
 def clean_pages(pages: DataFrame, cleaning: str = "sequential", clean_title: bool = False) -> DataFrame:

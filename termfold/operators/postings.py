@@ -18,13 +18,11 @@ def document_slot(doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(doc_id), 1, 8), 16, 10).cast("long")
 
 
-def frequent_words(counts: DataFrame, segment_size: int) -> DataFrame:
+def frequent_words(frequencies: DataFrame, segment_size: int) -> DataFrame:
     """``(Word, segments)`` of the words that need more than one segment."""
     segments = F.ceil(F.col("documents") / segment_size)
-    return (
-        document_frequencies(counts)
-        .filter(F.col("documents") > segment_size)
-        .select("Word", segments.alias("segments"))
+    return frequencies.filter(F.col("documents") > segment_size).select(
+        "Word", segments.alias("segments")
     )
 
 
@@ -40,14 +38,21 @@ def with_segment(counts: DataFrame, frequent: DataFrame) -> DataFrame:
     )
 
 
-def inverted_index(counts: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
+def inverted_index(
+    counts: DataFrame,
+    segment_size: int = SEGMENT_SIZE,
+    frequencies: DataFrame | None = None,
+) -> DataFrame:
     """``(Word, segment, Postings)`` from term-document counts, postings sorted by id.
 
-    ``counts`` is read twice (frequencies, postings): pass a stored table. A word
-    of a third of all documents fills many rows, each built by a task of its own
-    and no longer than about ``segment_size``; any other word has one row.
+    A word of a third of all documents fills many rows, each built by a task of
+    its own and no longer than about ``segment_size``; any other word has one row.
+    ``frequencies`` (``Word, documents``), where it is known already, saves
+    reading ``counts`` a second time; pass stored counts otherwise.
     """
-    frequent = stored(frequent_words(counts, segment_size), "frequent_words")
+    if frequencies is None:
+        frequencies = document_frequencies(counts)
+    frequent = stored(frequent_words(frequencies, segment_size), "frequent_words")
     return (
         with_segment(counts, frequent)
         .groupBy("Word", "segment")

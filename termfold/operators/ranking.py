@@ -65,7 +65,12 @@ def ranked(
         "rows_before",
     )
     number = F.col("rows_before") + F.col("place") - F.col("run_start") + 1
-    return rows.join(before, [*within, "slice"]).select(*df.columns, number.alias(name))
+    row, run = rows.alias("row"), before.alias("run")
+    same_run = F.col("row.slice") == F.col("run.slice")
+    for column in within:
+        same_run &= F.col(f"row.{column}").eqNullSafe(F.col(f"run.{column}"))
+    kept = [F.col(f"row.{column}") for column in df.columns]
+    return row.join(run, same_run).select(*kept, number.alias(name))
 
 
 def vocabulary_rank(words: DataFrame) -> DataFrame:

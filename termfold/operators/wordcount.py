@@ -14,3 +14,9 @@ def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
         .groupBy("word")
         .agg(F.count("*").alias("count"))
     )
+
+
+def write_counts(counted: DataFrame, path: str) -> None:
+    """Text files of ``word<TAB>count`` lines."""
+    line = F.concat_ws("\t", "word", F.col("count").cast("string"))
+    counted.select(line.alias("value")).write.mode("overwrite").text(path)

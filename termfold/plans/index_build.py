@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termfold import values as v
+from termfold.functions import scoring
 from termfold.operators.counts import document_frequencies, field_term_counts
 from termfold.operators.documents import field_documents, stemmed_documents, tokenize_documents
 from termfold.operators.lookup import secondary_index
@@ -13,6 +14,10 @@ from termfold.operators.postings import SEGMENT_SIZE, inverted_index
 from termfold.operators.ranking import vocabulary_rank, with_batch
 from termfold.session import reused, scratch_run, stored
 
+POSTING_TYPE = ", ".join(["doc_id: string", *[f"{name}: bigint" for name in scoring.COUNTS]])
+PRIMARY_SCHEMA = f"Word string, segment int, Postings array<struct<{POSTING_TYPE}>>, batch int"
+SECONDARY_SCHEMA = "batch int, first_word string"
+
 
 def batched_vocabulary(counts: DataFrame, batch_size: int = v.BATCH_SIZE) -> DataFrame:
     """``(Word, documents, rank, batch)`` of every indexed word."""
@@ -48,7 +53,7 @@ def batched_postings(
     batches = vocabulary.select(
         "Word", "batch", F.explode(F.sequence(F.lit(0), last_segment)).alias("segment")
     )
-    postings = inverted_index(counts, segment_size)
+    postings = inverted_index(counts, segment_size, vocabulary)
     return postings.join(batches, ["Word", "segment"]).select("batch", "Word", "segment", "Postings")
 
 
@@ -96,7 +101,9 @@ def write_index(
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/primary"), spark.read.parquet(f"{path}/secondary")
+    """Primary and secondary index; the schemas are known, so no file is opened for them."""
+    primary = spark.read.schema(PRIMARY_SCHEMA).parquet(f"{path}/primary")
+    return primary, spark.read.schema(SECONDARY_SCHEMA).parquet(f"{path}/secondary")
 
 
 def page_counts(

@@ -1,6 +1,6 @@
 from termfold import values as v
 from termfold.operators import counts
-from termfold.operators.wordcount import word_count
+from termfold.operators.wordcount import word_count, write_counts
 
 SCHEMA = "Id string, " + ", ".join(f"{field} array<string>" for field in v.FIELDS)
 ROWS = [
@@ -39,3 +39,6 @@ def test_word_count_of_text_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text("the cat\tThe  cat \n\n cat's\n")
     counted = word_count(spark.read.text(str(tmp_path)))
     assert {tuple(r) for r in counted.collect()} == {("the", 1), ("The", 1), ("cat", 2), ("cat's", 1)}
+    write_counts(counted, str(tmp_path / "out"))
+    lines = {row.value for row in spark.read.text(str(tmp_path / "out")).collect()}
+    assert lines == {"the\t1", "The\t1", "cat\t2", "cat's\t1"}

@@ -32,14 +32,15 @@ def test_rank_equals_the_window(spark, partitions):
         random.seed(1)
         # group 0 holds more than a third of the rows; many ties in the score
         rows = [(g if random.random() < 0.5 else 0, random.randrange(5), str(i)) for i in range(3000) for g in [i % 9]]
+        rows += [(None, 1, "a"), (None, 1, "b")]
         df = spark.createDataFrame(rows, "g int, score int, key string")
         ours = ranking.ranked(df, [F.desc("score"), "key"], within=["g"])
         window = Window.partitionBy("g").orderBy(F.desc("score"), "key")
         theirs = df.withColumn("rank", F.row_number().over(window).cast("long"))
-        assert sorted(ours.collect()) == sorted(theirs.collect())
+        assert sorted(ours.collect(), key=repr) == sorted(theirs.collect(), key=repr)
         whole = ranking.ranked(df, ["score", "key"])
         theirs = df.withColumn("rank", F.row_number().over(Window.orderBy("score", "key")).cast("long"))
-        assert sorted(whole.collect()) == sorted(theirs.collect())
+        assert sorted(whole.collect(), key=repr) == sorted(theirs.collect(), key=repr)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
