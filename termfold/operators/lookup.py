@@ -23,7 +23,7 @@ def append_first_words(known: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def secondary_lookup(words: DataFrame, secondary: DataFrame) -> DataFrame:
-    """``(Word, batch)``: the last batch whose first word is not after the word.
+    """``(Word, batch)`` per distinct word: the last batch whose first word is not after it.
 
     A word before every batch gets no row. Words and first words are merged into
     one sorted sequence and each word takes the batch last seen. Batches grow
@@ -32,7 +32,9 @@ def secondary_lookup(words: DataFrame, secondary: DataFrame) -> DataFrame:
     pairs of words and batches are formed, whatever the two sizes.
     """
     marks = secondary.select(F.col("first_word").alias("Word"), F.lit(0).alias("kind"), "batch")
-    probes = words.select("Word", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("batch"))
+    probes = words.select("Word").distinct().withColumns(
+        {"kind": F.lit(1), "batch": F.lit(None).cast("int")}
+    )
     merged = range_sorted(marks.unionByName(probes), "Word", "kind")
 
     earlier_slices = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

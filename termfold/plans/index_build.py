@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termfold import values as v
@@ -14,6 +14,9 @@ from termfold.operators.postings import SEGMENT_SIZE, inverted_index
 from termfold.operators.ranking import vocabulary_rank, with_batch
 from termfold.session import reused, scratch_run, stored
 
+# Postings one task writes to a batch, some hundred megabytes before compression.
+POSTINGS_PER_FILE = 10_000_000
+
 POSTING_TYPE = ", ".join(["doc_id: string", *[f"{name}: bigint" for name in scoring.COUNTS]])
 PRIMARY_SCHEMA = f"Word string, segment int, Postings array<struct<{POSTING_TYPE}>>, batch int"
 SECONDARY_SCHEMA = "batch int, first_word string"
@@ -38,34 +41,52 @@ def index_statistics(counts: DataFrame, batch_size: int = v.BATCH_SIZE) -> DataF
     )
 
 
+def with_chunk(vocabulary: DataFrame, postings_per_file: int) -> DataFrame:
+    """Cut each batch into chunks of consecutive words with about as many postings.
+
+    The window runs over the words of one batch, so its groups are ``batch_size`` rows.
+    """
+    before = Window.partitionBy("batch").orderBy("Word").rowsBetween(Window.unboundedPreceding, -1)
+    postings = F.sum(F.least(F.col("documents"), F.lit(postings_per_file))).over(before)
+    chunk = F.floor(F.coalesce(postings, F.lit(0)) / postings_per_file)
+    return vocabulary.withColumn("chunk", chunk)
+
+
 def batched_postings(
     counts: DataFrame,
     vocabulary: DataFrame,
     segment_size: int = SEGMENT_SIZE,
+    postings_per_file: int = POSTINGS_PER_FILE,
 ) -> DataFrame:
-    """``(batch, Word, segment, Postings)``.
+    """``(batch, chunk, part, Word, segment, Postings)``: posting lists and where they go.
 
     Batches are joined on word and segment, the key the postings are grouped by:
     the posting lists are not shuffled again for it, and a frequent word's
-    segments stay apart.
+    segments stay apart. ``part`` numbers the files a very frequent word fills.
     """
     last_segment = (F.ceil(F.col("documents") / segment_size) - 1).cast("int")
-    batches = vocabulary.select(
-        "Word", "batch", F.explode(F.sequence(F.lit(0), last_segment)).alias("segment")
+    segments_per_file = max(1, postings_per_file // segment_size)
+    places = with_chunk(vocabulary, postings_per_file).select(
+        "Word", "batch", "chunk", F.explode(F.sequence(F.lit(0), last_segment)).alias("segment")
     )
     postings = inverted_index(counts, segment_size, vocabulary)
-    return postings.join(batches, ["Word", "segment"]).select("batch", "Word", "segment", "Postings")
+    return (
+        postings.join(places, ["Word", "segment"])
+        .withColumn("part", F.floor(F.col("segment") / segments_per_file))
+        .select("batch", "chunk", "part", "Word", "segment", "Postings")
+    )
 
 
 def write_primary(postings: DataFrame, path: str) -> None:
-    """One directory per batch, sorted by word so that row-group statistics prune.
+    """One directory per batch, sorted by word so that file and row-group statistics prune.
 
-    Segments are spread over tasks as well, so a batch with a frequent word is
-    not written by one task. The whole table is replaced: batches of an earlier,
-    larger run do not stay behind.
+    A batch is written by as many tasks as it has chunks and parts, so neither a
+    large batch nor a frequent word ends up in one task. The whole table is
+    replaced: batches of an earlier, larger run do not stay behind.
     """
     (
-        postings.repartition("batch", "segment")
+        postings.repartition("batch", "chunk", "part")
+        .drop("chunk", "part")
         .sortWithinPartitions("batch", "Word", "segment")
         .write.partitionBy("batch")
         .mode("overwrite")
@@ -93,11 +114,13 @@ def write_index(
     path: str,
     batch_size: int = v.BATCH_SIZE,
     segment_size: int = SEGMENT_SIZE,
+    postings_per_file: int = POSTINGS_PER_FILE,
 ) -> None:
     """Write ``<path>/primary`` and ``<path>/secondary`` from stored term-document counts."""
     with reused(batched_vocabulary(counts, batch_size)) as vocabulary:
         write_secondary(secondary_index(vocabulary), f"{path}/secondary")
-        write_primary(batched_postings(counts, vocabulary, segment_size), f"{path}/primary")
+        postings = batched_postings(counts, vocabulary, segment_size, postings_per_file)
+        write_primary(postings, f"{path}/primary")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -46,7 +46,7 @@ def term_lookup(terms: DataFrame, primary: DataFrame, secondary: DataFrame) -> D
         batches = F.col("batch").isin(sorted(set(located.values())))
         found = primary.filter(batches & F.col("Word").isin(sorted(located))).join(terms, "Word")
     else:
-        located = secondary_lookup(terms.select("Word").distinct(), secondary)
+        located = secondary_lookup(terms, secondary)
         placed = stored(terms.join(located, "Word"), "placed_terms")
         # Always true, but pruning at run time needs a comparison on the smaller side.
         placed = placed.filter(F.col("batch") >= 0)

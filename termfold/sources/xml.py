@@ -11,6 +11,8 @@ PAGE_SCHEMA = (
 )
 PAGE_START = r"(?s)<page(?:\s[^>]*[^>/])?>.*"
 PAGE_END = "</page>"
+# Files up to this size are read whole.
+WHOLE_FILE_BYTES = 128 << 20
 
 
 def read_page_elements(spark: SparkSession, path: str) -> DataFrame:
@@ -54,8 +56,15 @@ def page_documents(elements: DataFrame, initial_capitals: bool = False) -> DataF
     return elements.select([column.alias(name) for name, column in columns.items()])
 
 
-def read_pages(spark: SparkSession, path: str, splittable: bool = False) -> DataFrame:
-    """Pages of a dump as ``(Id, Title, Text)``."""
+def largest_file(spark: SparkSession, path: str) -> int:
+    """Size of the largest file of a dump; no contents are read."""
+    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
+
+
+def read_pages(spark: SparkSession, path: str, splittable: bool | None = None) -> DataFrame:
+    """Pages of a dump as ``(Id, Title, Text)``; by default large files are split."""
+    if splittable is None:
+        splittable = largest_file(spark, path) > WHOLE_FILE_BYTES
     reader = read_page_elements_split if splittable else read_page_elements
     return page_documents(reader(spark, path))
 

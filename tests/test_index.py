@@ -108,6 +108,27 @@ def test_written_index(spark, tmp_path):
     assert primary.count() == 1 and secondary.count() == 1
 
 
+def test_large_batches_and_frequent_words_are_written_by_many_tasks(spark, tmp_path):
+    counts = stored(term_documents(spark), "counts")
+    path = str(tmp_path / "index")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index_build.write_index(counts, path, batch_size=1000, segment_size=20, postings_per_file=40)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([f for f in os.listdir(f"{path}/primary/batch=0") if f.endswith(".parquet")]) == 4
+    primary, _ = index_build.read_index(spark, path)
+    as_built = postings.inverted_index(counts, 20)
+    assert sorted(primary.select(as_built.columns).collect()) == sorted(as_built.collect())
+
+
+def test_chunks_hold_consecutive_words_of_bounded_postings(spark):
+    rows = [(f"w{i:02d}", 3 if i != 5 else 1000, 0) for i in range(20)]
+    words = spark.createDataFrame(rows, "Word string, documents long, batch int")
+    chunks = [r.chunk for r in index_build.with_chunk(words, 10).orderBy("Word").collect()]
+    assert chunks == sorted(chunks) and max(chunks.count(c) for c in set(chunks)) <= 4
+
+
 def test_no_batch_is_empty(spark, tmp_path):
     rows = [("1", f"w{i:02d}", 1, 0, 0, 0, 0) for i in range(20)]
     counts = spark.createDataFrame(rows, COUNTS)
@@ -141,7 +162,8 @@ def test_lookup_equals_bisection(spark):
     expected = {w: bisect.bisect_right(first, w) - 1 for w in words}
     expected = {w: b for w, b in expected.items() if b >= 0}
     assert len(expected) < len(words)
-    table = spark.createDataFrame([(w,) for w in words], "Word string")
+    table = spark.createDataFrame([(w,) for w in words + words[:50]], "Word string")
+    assert lookup.secondary_lookup(table, secondary).count() == len(expected)
     assert dict(tuple(r) for r in lookup.secondary_lookup(table, secondary).collect()) == expected
     assert lookup.locate_words(secondary, words) == expected
 

@@ -18,7 +18,7 @@ def rows(df):
     return sorted(tuple(row) for row in df.collect())
 
 
-@pytest.mark.parametrize("splittable", [False, True])
+@pytest.mark.parametrize("splittable", [False, True, None])
 def test_pages_of_a_dump(spark, tmp_path, splittable):
     (tmp_path / "d.xml").write_text(DUMP)
     pages = xml.read_pages(spark, str(tmp_path / "d.xml"), splittable)
@@ -40,7 +40,7 @@ def test_broken_page_fails_instead_of_going_missing(spark, tmp_path):
         xml.read_pages(spark, str(tmp_path / "d.xml"), splittable=True).collect()
 
 
-def test_large_file_is_read_in_several_splits(spark, tmp_path):
+def test_large_file_is_read_in_several_splits(spark, tmp_path, monkeypatch):
     pages = "".join(
         f"<page><title>T{i}</title><id>{i}</id><revision><text>{'body ' * 40}{i}</text></revision></page>\n"
         for i in range(2000)
@@ -50,7 +50,9 @@ def test_large_file_is_read_in_several_splits(spark, tmp_path):
     try:
         split = xml.read_pages(spark, str(tmp_path / "d.xml"), splittable=True)
         assert split.rdd.getNumPartitions() > 3
-        assert rows(split) == rows(xml.read_pages(spark, str(tmp_path / "d.xml")))
+        assert rows(split) == rows(xml.read_pages(spark, str(tmp_path / "d.xml"), splittable=False))
+        monkeypatch.setattr(xml, "WHOLE_FILE_BYTES", 65536)
+        assert xml.read_pages(spark, str(tmp_path / "d.xml")).rdd.getNumPartitions() > 3
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
