@@ -419,7 +419,10 @@ def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("External_Links", F.lit(None).cast("string"))
     )
-    return keyed.upsert(_fielded(spark, sf_dir), puts)
+    root = scratch_path(spark, "documents")
+    keyed.keyed_sink(_fielded(spark, sf_dir), keyed.version_path(root, 0))
+    version = keyed.put_documents(spark, root, 0, puts)
+    return spark.read.parquet(keyed.version_path(root, version))
 
 
 def keyed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:

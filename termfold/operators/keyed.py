@@ -52,6 +52,21 @@ def upsert(
     return old.join(new, key, "full_outer").select(key, *merged)
 
 
+def version_path(root: str, version: int) -> str:
+    return f"{root}/version={version}"
+
+
+def put_documents(spark: SparkSession, root: str, version: int, updates: DataFrame, **columns) -> int:
+    """Apply puts to one version of a keyed table and write the next; returns its number.
+
+    Readers of the old version are not disturbed, and a failed run can be repeated.
+    ``columns`` goes to ``upsert``.
+    """
+    table = spark.read.parquet(version_path(root, version))
+    upsert(table, updates, **columns).write.mode("overwrite").parquet(version_path(root, version + 1))
+    return version + 1
+
+
 def encoded(df: DataFrame) -> DataFrame:
     """All columns as UTF-8 bytes, as byte-oriented stores keep them."""
     return df.select([F.encode(F.col(c).cast("string"), "utf-8").alias(c) for c in df.columns])

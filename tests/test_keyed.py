@@ -28,6 +28,18 @@ def test_upsert_keeps_the_last_value_of_every_cell(spark):
     }
 
 
+def test_versions(spark, tmp_path):
+    root = str(tmp_path)
+    people = spark.createDataFrame([("1", "Alice", 25), ("2", "Bob", 30)], "Id string, Name string, Age long")
+    keyed.keyed_sink(people, keyed.version_path(root, 0))
+    puts = spark.createDataFrame([("2", None, 31, 1), ("3", "Eve", 40, 1)], "Id string, Name string, Age long, at long")
+    for _ in range(2):  # the second run replaces what a failed first one may have left
+        version = keyed.put_documents(spark, root, 0, puts, cells=["Name", "Age"], sequence="at")
+    new = spark.read.parquet(keyed.version_path(root, version))
+    assert sorted(tuple(r) for r in new.collect()) == [("1", "Alice", 25), ("2", "Bob", 31), ("3", "Eve", 40)]
+    assert spark.read.parquet(keyed.version_path(root, 0)).count() == 2
+
+
 def test_table_is_created_once_written_and_scanned(spark, tmp_path):
     table = spark.createDataFrame(SAMPLE, CELLS)
     path = str(tmp_path / "t")
