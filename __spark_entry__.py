@@ -21,6 +21,14 @@ from termfold.plans import index_build, search
 from termfold.session import scratch_path, ship_package, stored
 from termfold.sources import tables, xml
 
+try:
+    import corpus_pipeline
+    from termfold.llm import registry as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "termfold.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Tables and indexes several queries start from, written once per application.
@@ -457,8 +465,16 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     named = {query.__name__: query for query in _REGISTERED}
     named.update({f"tf_{field.lower()}": _term_frequency(field) for field in v.FIELDS})
+    if llm:
+        named.update(llm.queries())
+        named["pipeline"] = corpus_pipeline.run
     return named
 
 
 def oracle_sql() -> dict[str, str]:
-    return duckdb_oracle.statements()
+    statements = duckdb_oracle.statements()
+    if llm:
+        statements.update(llm.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
