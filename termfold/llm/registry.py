@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import langid
+from termfold.llm import langid, secrets, topk
 from termfold.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,10 +22,14 @@ def _shipped(query: Query) -> Query:
 
 
 _REGISTERED: list[Query] = [
+    topk.op1_exact_topk,
+    secrets.op4_secret_scan,
     langid.op9_language_id,
 ]
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_exact_topk": topk.OP1_SQL,
+}
 
 
 def queries() -> dict[str, Query]:
