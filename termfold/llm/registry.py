@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import fingerprints, langid, secrets, topk, toxicity
+from termfold.llm import fingerprints, langid, secrets, topk, toxicity, warc
 from termfold.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def _shipped(query: Query) -> Query:
 
 _REGISTERED: list[Query] = [
     topk.op1_exact_topk,
+    warc.op2_warc,
     secrets.op4_secret_scan,
     toxicity.op7_toxicity,
     fingerprints.op8_fingerprints,
@@ -31,6 +32,7 @@ _REGISTERED: list[Query] = [
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": topk.OP1_SQL,
+    "op2_warc": warc.OP2_SQL,
 }
 
 
