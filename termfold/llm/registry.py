@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import fingerprints, langid, secrets, topk, toxicity, warc
+from termfold.llm import fingerprints, langid, pieces, secrets, topk, toxicity, warc
 from termfold.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ def _shipped(query: Query) -> Query:
 _REGISTERED: list[Query] = [
     topk.op1_exact_topk,
     warc.op2_warc,
+    pieces.op3_pieces,
     secrets.op4_secret_scan,
     toxicity.op7_toxicity,
     fingerprints.op8_fingerprints,
