@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import fingerprints, langid, pieces, secrets, topk, toxicity, warc
+from termfold.llm import fingerprints, langid, lines, pieces, secrets, topk, toxicity, warc
 from termfold.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,7 @@ _REGISTERED: list[Query] = [
     toxicity.op7_toxicity,
     fingerprints.op8_fingerprints,
     langid.op9_language_id,
+    lines.op10_line_dedup,
 ]
 
 ORACLE_SQL: dict[str, str] = {
