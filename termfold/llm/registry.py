@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import fingerprints, jaccard, langid, lines, pieces, secrets, topk, toxicity, warc
+from termfold.llm import fingerprints, jaccard, langid, lines, mixing, pieces, secrets, topk, toxicity, warc
 from termfold.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,7 @@ _REGISTERED: list[Query] = [
     pieces.op3_pieces,
     secrets.op4_secret_scan,
     jaccard.op5_jaccard_join,
+    mixing.op6_mixing,
     toxicity.op7_toxicity,
     fingerprints.op8_fingerprints,
     langid.op9_language_id,
