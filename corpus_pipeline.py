@@ -1,11 +1,24 @@
-"""A corpus from raw documents in five stages, each of which calls one operator of ``termfold.llm``."""
+"""A corpus from raw documents in five stages, each of which calls one operator of ``termfold.llm``.
+
+Every stage takes and returns the columns of ``documents`` (the last adds the tokens); what a stage decides takes effect
+in the rows it returns:
+
+- ``language``: documents without a letter, or far from every learned language, go.
+- ``line_dedup``: lines that repeat earlier ones go. Documents stay, also those left without a line.
+- ``near_duplicates``: of each group of linked documents the one with the smallest id stays. Of rows that share an id,
+  all stay or go.
+- ``mixing``: documents are sampled towards evened-out shares of sources, languages and topics.
+- ``encoding``: texts are encoded into pieces with seeded merge-dropout.
+
+``n_chars`` follows the text. Null ids: such documents are linked with nothing, so they pass ``near_duplicates``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termfold.llm import langid
+from termfold.llm import jaccard, langid, lines, mixing, pieces
 from termfold.session import ship_package, stored
 
 #: Documents whose nearest profile is farther than this are in no learned language.
@@ -13,21 +26,50 @@ LEAST_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without a letter, or far from every profile, go."""
     ship_package(spark)
     profiles = langid.learn_profiles(docs.where(~langid.held_out(F.col("doc_id"))))
     known = langid.identify(docs, profiles)
     return known.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    kept = lines.dedup_lines(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    found = jaccard.near_duplicates(docs)
+    # Only documents that go are looked for: the others need not be moved.
+    gone = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "near_duplicates")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return mixing.mix(docs).where("kept").select(docs.columns)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return pieces.encode(docs, pieces.read_model())
+
+
 STAGES = [
     ("language", language),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mix),
+    ("encoding", encoding),
 ]
 
+#: Ranked profiles, raking and merges are not expressible in SQL; tests/llm compares with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each stage's rows are written before the next one reads them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)

@@ -30,6 +30,8 @@ PROFILE_SIZE = 400
 UNDETERMINED = "und"
 #: n-gram counts that a task holds before it passes them on.
 HELD_COUNTS = 2_000_000
+#: Stands for all characters that are no letters; not 0, so that n-grams of different lengths have different keys.
+BLANK = 1
 
 Profiles = dict[str, list[int]]
 
@@ -40,8 +42,8 @@ def held_out(doc_id: Column) -> Column:
 
 @cache
 def _folded() -> np.ndarray:
-    """By code point: its lower-case letter, or 0 if it is no letter."""
-    table = np.zeros(0x110000, np.uint32)
+    """By code point: its lower-case letter, or the blank if it is no letter."""
+    table = np.full(0x110000, BLANK, np.uint32)
     for point in range(0x110000):
         char = chr(point)
         if char.isalpha():
@@ -51,17 +53,17 @@ def _folded() -> np.ndarray:
 
 
 def ngrams(text: str) -> np.ndarray:
-    """Keys of all n-grams of one to three characters: 21 bits a character, 0 the blank."""
+    """Keys of all n-grams of one to three characters: 21 bits a character."""
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    letters = np.zeros(len(points) + 2, np.int64)
+    letters = np.full(len(points) + 2, BLANK, np.int64)
     letters[1:-1] = _folded()[points]
-    blank = letters == 0
+    blank = letters == BLANK
     letters = letters[_kept(blank)]
     if len(letters) < 2:
         return np.zeros(0, np.int64)
     pairs = (letters[:-1] << 21) | letters[1:]
     triples = (pairs[:-1] << 21) | letters[2:]
-    return np.concatenate((letters[letters > 0], pairs, triples))
+    return np.concatenate((letters[letters != BLANK], pairs, triples))
 
 
 def _kept(blank: np.ndarray) -> np.ndarray:
@@ -140,7 +142,7 @@ class Nearest:
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         own = ranked(text, self.size)
-        if not len(own) or not self.langs or own.max() == 0:
+        if not len(own) or not self.langs:
             return UNDETERMINED, 0.0
         at = np.searchsorted(self.keys, own)
         known = self.keys[np.minimum(at, len(self.keys) - 1)] == own
