@@ -120,22 +120,28 @@ def _dump(spark: SparkSession, sf_dir: str) -> str:
 
 
 def xml_page_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return xml.read_pages(spark, _dump(spark, sf_dir))
+    return xml.read_pages(spark, _dump(spark, sf_dir), whole_files=True)
 
 
 def xml_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return xml.read_pages(spark, _dump(spark, sf_dir), splittable=True)
+    return xml.read_pages(spark, _dump(spark, sf_dir))
 
 
 def page_initial_capitals(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = xml.read_page_elements(spark, _dump(spark, sf_dir))
-    return xml.page_documents(elements, initial_capitals=True).select("Id", "Title")
+    return xml.page_documents(elements, initial_capitals=True)
 
 
 def page_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.sample_pages(_pages(spark, sf_dir), 20)
 
 
+def word_count_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "counts")
+    wordcount.write_counts(word_count_docs(spark, sf_dir), path)
+    return tables.read_lines(spark, path)
+
+
 def word_count_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lines")
     tables.spread(_table(spark, sf_dir, "documents")).select("text").write.text(path)
@@ -379,6 +385,10 @@ def search_result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.result_documents(_queries(spark, sf_dir), search_ranked(spark, sf_dir))
 
 
+def search_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.listing(_queries(spark, sf_dir), search_ranked(spark, sf_dir))
+
+
 def search_result_json_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranked = search_ranked(spark, sf_dir)
     return search.result_documents(_queries(spark, sf_dir), ranked, results_per_document=100)
@@ -427,10 +437,20 @@ def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("External_Links", F.lit(None).cast("string"))
     )
-    root = scratch_path(spark, "documents")
-    keyed.keyed_sink(_fielded(spark, sf_dir), keyed.version_path(root, 0))
-    version = keyed.put_documents(spark, root, 0, puts)
-    return spark.read.parquet(keyed.version_path(root, version))
+    path = scratch_path(spark, "documents")
+    keyed.write_keyed_table(_fielded(spark, sf_dir), path)
+    keyed.put_documents(spark, path, puts)
+    return keyed.read_keyed_table(spark, path)
+
+
+def keyed_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _fielded(spark, sf_dir)
+    path = scratch_path(spark, "created")
+    name = "created_" + path.split("/")[-2]
+    for _ in range(2):  # the second time it is there already
+        keyed.create_if_missing(spark, name, documents.schema, path)
+    documents.write.insertInto(name)
+    return spark.table(name)
 
 
 def keyed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,7 +461,7 @@ def keyed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- contract -----------------------------------------------------------------
 
 _REGISTERED: list[Query] = [
-    xml_page_scan, xml_split_scan, page_initial_capitals, page_sample, word_count_docs,
+    xml_page_scan, xml_split_scan, page_initial_capitals, page_sample, word_count_docs, word_count_output,
     normalize_case, clean_body_sequential, clean_body_single_pass, clean_html_pages,
     extract_categories, extract_infobox, extract_external_links, extract_body, extract_body_kept,
     strip_junk, clean_categories, clean_infobox, squeeze_whitespace,
@@ -452,8 +472,8 @@ _REGISTERED: list[Query] = [
     index_stats, vocabulary_rank, index_batches, secondary_index, secondary_index_text,
     union_first_words, index_write_roundtrip, stemmed_index_roundtrip,
     query_terms, query_terms_stemmed, secondary_lookup, index_term_lookup,
-    search_scores, search_ranked, search_result_json, search_result_json_parts,
-    stemmed_search_ranked, keyed_sink, upsert_documents, keyed_encode,
+    search_scores, search_ranked, search_listing, search_result_json, search_result_json_parts,
+    stemmed_search_ranked, keyed_sink, keyed_create, upsert_documents, keyed_encode,
 ]
 
 

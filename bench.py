@@ -45,7 +45,7 @@ def main() -> None:
         "counts_without_stop_words": lambda: run(index_build.page_counts(pages, stem=False)),
         "extract_stop_words_and_stem": lambda: run(stemmed_documents(field_documents(pages))),
         "counts_stemmed": lambda: run(index_build.page_counts(pages)),
-        "xml_split_scan": lambda: run(xml.read_pages(spark, dump, splittable=True)),
+        "xml_split_scan": lambda: run(xml.read_pages(spark, dump)),
         "index_build": lambda: index_build.build_index(pages, plain, stem=False),
         "index_build_stemmed": lambda: index_build.build_index(pages, stemmed),
         "index_build_stemmed_large_batches": lambda: index_build.build_index(

@@ -45,6 +45,11 @@ def single_pass(text: str) -> str:
     return replace(text, pattern, " ")
 
 
+def initial_capitals(text: str) -> str:
+    return f"""array_to_string(list_transform(string_split({text}, ' '),
+      lambda x: CASE WHEN left(x, 1) = 'ß' THEN 'Ss' ELSE upper(left(x, 1)) END || lower(substr(x, 2))), ' ')"""
+
+
 def junk(text: str) -> str:
     return replace(replace(text, JUNK, " "), r"\n", " ")
 
@@ -278,6 +283,7 @@ HITS = "SELECT query_id, Word, repeats, segment, Document_Counts FROM terms JOIN
 SUCCESS = "to_json({'string': query, 'status': 'success', 'results': list({'key': key, 'score': score} ORDER BY rank)})"
 ERROR = f"to_json({{'string': query, 'status': 'error', 'message': {quoted(v.NOTHING_FOUND)}}})"
 JSON = f"""SELECT query_id, coalesce((rank - 1) // {{size}}, 0) AS document,
+  max(coalesce((max(rank) - 1) // {{size}}, 0)) OVER (PARTITION BY query_id) + 1 AS documents,
   cast(CASE WHEN count(key) = 0 THEN {ERROR} ELSE {SUCCESS} END AS varchar) AS json
   FROM queries LEFT JOIN ranked USING (query_id) GROUP BY query_id, query, document"""
 
@@ -305,8 +311,7 @@ def statements() -> dict[str, str]:
         "xml_split_scan": statement([WIKI], "SELECT Id, Title, Text FROM wiki"),
         "page_initial_capitals": statement(
             [WIKI],
-            """SELECT Id, array_to_string(list_transform(string_split(Title, ' '),
-                 lambda x: upper(left(x, 1)) || lower(substr(x, 2))), ' ') AS Title FROM wiki""",
+            f"SELECT Id, {initial_capitals('Title')} AS Title, {initial_capitals('Text')} AS Text FROM wiki",
         ),
         "page_sample": statement(
             [WIKI], "SELECT Id, Title, Text FROM wiki ORDER BY cast(Id AS BIGINT) LIMIT 20"
@@ -410,6 +415,12 @@ def statements() -> dict[str, str]:
         "search_ranked": statement(
             [*PLAIN, *QUERY_TERMS, SCORES, RANKED], "SELECT query_id, key, score, rank FROM ranked"
         ),
+        "search_listing": statement(
+            [*PLAIN, *QUERY_TERMS, SCORES, RANKED],
+            f"""SELECT query_id, coalesce(rank, 0) AS rank, CASE WHEN rank IS NULL
+                THEN {quoted(v.NOTHING_FOUND)} ELSE key || ' ' || score END AS line
+                FROM queries LEFT JOIN ranked USING (query_id)""",
+        ),
         "search_result_json": statement(
             [*PLAIN, *QUERY_TERMS, SCORES, RANKED], JSON.replace("{size}", "100000")
         ),
@@ -428,6 +439,10 @@ def statements() -> dict[str, str]:
         "word_count_docs": r"""SELECT word, count(*) AS count FROM (
             SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
             WHERE word <> '' GROUP BY word""",
+        "word_count_output": r"""SELECT word || chr(9) || count(*) AS value FROM (
+            SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents)
+            WHERE word <> '' GROUP BY word""",
+        "keyed_create": statement(DOCUMENTS, f"SELECT Id, {FIELD_COLUMNS} FROM fielded"),
         "keyed_sink": statement(DOCUMENTS, f"SELECT Id, {FIELD_COLUMNS} FROM fielded"),
         "upsert_documents": statement([*DOCUMENTS, PUTS, LAST_PUTS], UPSERTED),
         "keyed_encode": statement(

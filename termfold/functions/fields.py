@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -14,6 +15,7 @@ from termfold import values as v
 from termfold.functions.clean import strip
 
 BRACES = re.compile(r"\{\{|\}\}")
+STEP = {"{{": 1, "}}": -1}
 
 
 # The parts below are cut out without CASE branches: Spark evaluates a common
@@ -64,29 +66,26 @@ def extract_body(text: Column, keep_body_without_links: bool = False) -> Column:
     return body
 
 
+def balanced_end(text: str, start: int) -> int | None:
+    """Where the braces that open at ``start`` are balanced: the first running sum of zero."""
+    steps = ((brace.end(), STEP[brace.group()]) for brace in BRACES.finditer(text, start))
+    sums = accumulate(steps, lambda so_far, step: (step[0], so_far[1] + step[1]))
+    return next((end for end, depth in sums if depth == 0), None)
+
+
 def infobox_spans(text: str) -> dict:
     """Where the balanced infoboxes of one page lie (0-based) and where the rest begins.
 
     Each box runs from its opening to the braces that balance it. An unbalanced
     box ends the search and opens the rest.
     """
-    boxes = []
-    rest = 0
-    start = text.find(v.INFOBOX_OPEN)
-    while start >= 0:
-        depth = 0
-        end = None
-        for brace in BRACES.finditer(text, start):
-            depth += 1 if brace.group() == "{{" else -1
-            if depth == 0:
-                end = brace.end()
-                break
+    boxes, rest = [], 0
+    while (opening := text.find(v.INFOBOX_OPEN, rest)) >= 0:
+        end = balanced_end(text, opening)
         if end is None:
-            rest = start
-            break
-        boxes.append({"at": start, "size": end - start})
+            return {"boxes": boxes, "rest": opening}
+        boxes.append({"at": opening, "size": end - opening})
         rest = end
-        start = text.find(v.INFOBOX_OPEN, end)
     return {"boxes": boxes, "rest": rest}
 
 

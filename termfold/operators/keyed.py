@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from termfold import values as v
+from termfold.session import stored
 
 DOCUMENT_CELLS = list(v.FIELDS)
+# Parts of a keyed table that are replaced on their own.
+BUCKETS = 64
 
 
 def create_if_missing(spark: SparkSession, table: str, schema: StructType, path: str) -> None:
@@ -16,19 +19,24 @@ def create_if_missing(spark: SparkSession, table: str, schema: StructType, path:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{path}'")
 
 
-def keyed_sink(df: DataFrame, path: str | None = None, format: str = "parquet", **options: str) -> None:
-    """Write a keyed table through any DataFrame sink.
+def keyed_sink(
+    df: DataFrame, path: str | None = None, format: str = "parquet", mode: str = "append", **options: str
+) -> None:
+    """Write a keyed table through any DataFrame sink; by default rows are added to what is there.
 
     A wide-column store's connector is chosen by ``format`` with its own options
     (row-key column, column family, table); Parquet needs only a path.
     """
-    df.write.format(format).options(**options).mode("overwrite").save(path)
+    df.write.format(format).options(**options).mode(mode).save(path)
 
 
 def last_puts(updates: DataFrame, key: str, cells: list[str], sequence: str) -> DataFrame:
-    """One row per key: every cell holds the last value that was put, nulls put nothing."""
+    """One row per key: every cell holds the last value that was put, nulls put nothing.
+
+    Of values put with one sequence number the largest counts.
+    """
     latest = [
-        F.max_by(F.col(cell), F.when(F.col(cell).isNotNull(), F.col(sequence))).alias(cell)
+        F.max_by(F.col(cell), F.when(F.col(cell).isNotNull(), F.struct(sequence, cell))).alias(cell)
         for cell in cells
     ]
     return updates.groupBy(key).agg(*latest)
@@ -52,19 +60,44 @@ def upsert(
     return old.join(new, key, "full_outer").select(key, *merged)
 
 
-def version_path(root: str, version: int) -> str:
-    return f"{root}/version={version}"
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def write_keyed_table(df: DataFrame, path: str, key: str = "Id", buckets: int = BUCKETS) -> None:
+    """Write a table that ``put_documents`` can update: one folder for each hash bucket of the key."""
+    bucketed = df.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
+    bucketed.write.partitionBy("bucket").mode("overwrite").parquet(path)
+
+
+def read_keyed_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
 
 
-def put_documents(spark: SparkSession, root: str, version: int, updates: DataFrame, **columns) -> int:
-    """Apply puts to one version of a keyed table and write the next; returns its number.
+def put_documents(
+    spark: SparkSession, path: str, updates: DataFrame, key: str = "Id", buckets: int = BUCKETS, **columns
+) -> None:
+    """Apply puts to a table of ``write_keyed_table``; ``columns`` goes to ``upsert``.
 
-    Readers of the old version are not disturbed, and a failed run can be repeated.
-    ``columns`` goes to ``upsert``.
+    Only the buckets of the keys that are put are read and replaced, the files of the others stay as they are. The
+    new rows are stored before the first bucket is replaced, and the same puts can be applied again, so a run
+    that failed is repeated.
     """
-    table = spark.read.parquet(version_path(root, version))
-    upsert(table, updates, **columns).write.mode("overwrite").parquet(version_path(root, version + 1))
-    return version + 1
+    placed = stored(updates.withColumn("bucket", bucket_of(key, buckets)), "puts")
+    # At most one number for each bucket.
+    touched = [row.bucket for row in placed.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    table = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).drop("bucket")
+    merged = stored(upsert(table, placed.drop("bucket"), key=key, **columns), "merged_documents")
+    (
+        merged.withColumn("bucket", bucket_of(key, buckets))
+        .repartition("bucket")
+        .write.partitionBy("bucket")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
 
 
 def encoded(df: DataFrame) -> DataFrame:

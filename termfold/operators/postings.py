@@ -11,6 +11,8 @@ from termfold.session import stored
 
 # Documents per posting-list segment. A word in more documents gets several rows.
 SEGMENT_SIZE = 100_000
+# Parts of a frequent word's rows while its segments are looked up.
+SALTS = 64
 
 
 def document_slot(doc_id: Column) -> Column:
@@ -27,14 +29,20 @@ def frequent_words(frequencies: DataFrame, segment_size: int) -> DataFrame:
 
 
 def with_segment(counts: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Number the segment of each term-document row; 0 for all but frequent words."""
-    segment = F.when(
-        F.col("segments").isNotNull(), F.pmod(document_slot(F.col("Id")), F.col("segments"))
-    ).otherwise(0)
+    """Number the segment of each term-document row; 0 for all but frequent words.
+
+    The few frequent words are joined once per salt, so that also a join that shuffles spreads
+    their rows over ``SALTS`` tasks.
+    """
+    slot = document_slot(F.col("Id"))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    salted = frequent.select("Word", "segments", salts.alias("salt"))
+    segment = F.when(F.col("segments").isNotNull(), F.pmod(slot, F.col("segments"))).otherwise(0)
     return (
-        counts.join(frequent, "Word", "left")
+        counts.withColumn("salt", F.pmod(slot, F.lit(SALTS)))
+        .join(salted, ["Word", "salt"], "left")
         .withColumn("segment", segment.cast("int"))
-        .drop("segments")
+        .drop("segments", "salt")
     )
 
 
@@ -55,6 +63,7 @@ def inverted_index(
     frequent = stored(frequent_words(frequencies, segment_size), "frequent_words")
     return (
         with_segment(counts, frequent)
+        .repartition("Word", "segment")
         .groupBy("Word", "segment")
         .agg(F.sort_array(F.collect_list(scoring.posting())).alias("Postings"))
     )

@@ -95,13 +95,17 @@ def write_primary(postings: DataFrame, path: str) -> None:
 
 
 def write_secondary(secondary: DataFrame, path: str) -> None:
-    secondary.coalesce(1).sortWithinPartitions("batch").write.mode("overwrite").parquet(path)
+    secondary.sortWithinPartitions("batch").write.mode("overwrite").parquet(path)
 
 
 def export_secondary_text(secondary: DataFrame, path: str) -> None:
-    """One first word per line, line number = batch number; one row per batch, so one file."""
+    """One first word per line, line number = batch number: the order is the format, so it is one file.
+
+    The first words are stored before they meet in the one task that writes them.
+    """
     (
-        secondary.coalesce(1)
+        stored(secondary, "first_words")
+        .coalesce(1)
         .sortWithinPartitions("batch")
         .select("first_word")
         .write.mode("overwrite")

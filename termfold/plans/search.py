@@ -88,9 +88,9 @@ def result_documents(
     ranked_scores: DataFrame,
     results_per_document: int = RESULTS_PER_DOCUMENT,
 ) -> DataFrame:
-    """``(query_id, document, json)``: all hits of a query, best first.
+    """``(query_id, document, documents, json)``: all hits of a query, best first.
 
-    Hits are cut into documents of bounded size by rank, so a query that matches
+    ``document`` numbers the ``documents`` of a query from 0. Hits are cut into documents of bounded size by rank, so a query that matches
     a third of all pages never becomes one value. A query without hits gets one
     error document.
     """
@@ -99,10 +99,12 @@ def result_documents(
         F.sort_array(F.collect_list(F.struct("rank", "key", "score"))),
         lambda hit: F.struct(hit["key"].alias("key"), hit["score"].alias("score")),
     )
+    sizes = ranked_scores.groupBy("query_id").agg((F.floor((F.max("rank") - 1) / results_per_document) + 1).alias("documents"))
     hits = (
         ranked_scores.withColumn("document", number)
         .groupBy("query_id", "document")
         .agg(results.alias("results"))
+        .join(sizes, "query_id")
     )
     text = F.col("query").alias("string")
     success = F.to_json(F.struct(text, F.lit("success").alias("status"), "results"))
@@ -112,13 +114,26 @@ def result_documents(
     return queries.join(hits, "query_id", "left").select(
         "query_id",
         F.coalesce("document", F.lit(0)).cast("long").alias("document"),
+        F.coalesce("documents", F.lit(1)).cast("long").alias("documents"),
         F.when(F.col("results").isNull(), error).otherwise(success).alias("json"),
     )
 
 
 def write_results(documents: DataFrame, path: str) -> None:
-    """One JSON document per line."""
-    documents.select("json").write.mode("overwrite").text(path)
+    """One line of JSON for each result document: query, its number and the number of all, and the document."""
+    line = F.to_json(F.struct("query_id", "document", "documents", F.col("json").alias("result")))
+    documents.select(line.alias("value")).write.mode("overwrite").text(path)
+
+
+def listing(queries: DataFrame, ranked_scores: DataFrame) -> DataFrame:
+    """``(query_id, rank, line)``: each query's hits as lines in order, or the line that nothing was found."""
+    hits = queries.select("query_id").join(ranked_scores, "query_id", "left")
+    line = F.concat_ws(" ", "key", F.col("score").cast("string"))
+    return hits.select(
+        "query_id",
+        F.coalesce("rank", F.lit(0)).cast("long").alias("rank"),
+        F.when(F.col("rank").isNull(), F.lit(v.NOTHING_FOUND)).otherwise(line).alias("line"),
+    )
 
 
 def show_results(ranked_scores: DataFrame, rows: int = 20) -> None:

@@ -9,35 +9,30 @@ from pyspark.sql import functions as F
 PAGE_SCHEMA = (
     "id long, title string, revision struct<text: struct<_VALUE: string, _bytes: long>>"
 )
-PAGE_START = r"(?s)<page(?:\s[^>]*[^>/])?>.*"
+ATTRIBUTE = r"""\s+[^\s=<>/"']+\s*=\s*(?:"[^"]*"|'[^']*')"""
+PAGE_START = rf"<page(?:{ATTRIBUTE})*\s*>"
 PAGE_END = "</page>"
-# Files up to this size are read whole.
-WHOLE_FILE_BYTES = 128 << 20
 
 
-def read_page_elements(spark: SparkSession, path: str) -> DataFrame:
-    """Pages through the XML reader. It takes a file as a whole: for small files."""
-    return spark.read.format("xml").option("rowTag", "page").schema(PAGE_SCHEMA).load(path)
+def read_page_elements(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """``id, title, revision`` of every page of a dump.
 
+    The text scan is split by Spark at any byte, so files of all sizes are read alike. Records end at ``</page>``;
+    what precedes a page's start, the header of the dump, is cut off, and what follows the last page holds no start.
 
-def read_page_elements_split(spark: SparkSession, path: str) -> DataFrame:
-    """The same pages from a text scan that Spark splits at any byte: for large files.
-
-    Records end at ``</page>``. What precedes a page, the header of the dump, is
-    cut off; the rest of the file after the last page holds no page start. A page
-    that does not parse, such as one with a literal ``</page>`` inside CDATA,
-    fails the job rather than going missing.
+    ``whole_files`` takes each file through the XML reader instead, for dumps of small files with a literal ``</page>``
+    inside CDATA, which the text scan refuses. Otherwise both give the same rows: an empty page (``<page/>``, or none of
+    the three elements) is no row, and a page that does not parse, or a file that ends inside one, fails the job.
     """
-    records = spark.read.option("lineSep", PAGE_END).text(path)
-    page = F.regexp_extract("value", PAGE_START, 0)
-    element = F.from_xml(
-        F.concat(page, F.lit(PAGE_END)), PAGE_SCHEMA, {"rowTag": "page", "mode": "FAILFAST"}
-    )
-    return (
-        records.filter(F.col("value").rlike(r"<page(?:\s[^>]*[^>/])?>"))
-        .select(element.alias("page"))
-        .select("page.*")
-    )
+    if whole_files:
+        options = {"rowTag": "page", "mode": "FAILFAST"}
+        pages = spark.read.format("xml").options(**options).schema(PAGE_SCHEMA).load(path)
+    else:
+        records = spark.read.option("lineSep", PAGE_END).text(path)
+        page = F.concat(F.regexp_extract("value", f"(?s){PAGE_START}.*", 0), F.lit(PAGE_END))
+        element = F.from_xml(page, PAGE_SCHEMA, {"rowTag": "page", "mode": "FAILFAST"})
+        pages = records.filter(F.col("value").rlike(PAGE_START)).select(element.alias("page")).select("page.*")
+    return pages.filter("id is not null or title is not null or revision is not null")
 
 
 def page_documents(elements: DataFrame, initial_capitals: bool = False) -> DataFrame:
@@ -56,17 +51,9 @@ def page_documents(elements: DataFrame, initial_capitals: bool = False) -> DataF
     return elements.select([column.alias(name) for name, column in columns.items()])
 
 
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Size of the largest file of a dump; no contents are read."""
-    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
-
-
-def read_pages(spark: SparkSession, path: str, splittable: bool | None = None) -> DataFrame:
-    """Pages of a dump as ``(Id, Title, Text)``; by default large files are split."""
-    if splittable is None:
-        splittable = largest_file(spark, path) > WHOLE_FILE_BYTES
-    reader = read_page_elements_split if splittable else read_page_elements
-    return page_documents(reader(spark, path))
+def read_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Pages of a dump as ``(Id, Title, Text)``; see ``read_page_elements``."""
+    return page_documents(read_page_elements(spark, path, whole_files))
 
 
 def write_page_elements(pages: DataFrame, path: str) -> None:

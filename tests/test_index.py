@@ -74,9 +74,16 @@ def test_segments_without_a_broadcast(spark):
     expected = sorted(postings.inverted_index(counts, segment_size=50).collect())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         assert sorted(postings.inverted_index(counts, segment_size=50).collect()) == expected
+        # Neither the look-up of segments nor the building of the lists holds the word in one task.
+        frequent = postings.frequent_words(postings.document_frequencies(counts), 50)
+        task = F.spark_partition_id().alias("task")
+        for table in (postings.with_segment(counts, frequent), postings.inverted_index(counts, segment_size=50)):
+            assert table.filter("Word = 'hot'").select(task).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_posting_strings(spark):

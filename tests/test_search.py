@@ -85,8 +85,12 @@ def test_long_results_come_in_parts(spark, index):
 def test_result_file_and_listing(spark, index, tmp_path, capsys):
     asked = search.single_query(spark, "sun")
     ranked = search.rank_results(search.search(asked, *index))
-    search.write_results(search.result_documents(asked, ranked), str(tmp_path / "out"))
-    assert json.loads(spark.read.text(str(tmp_path / "out")).first().value)["status"] == "success"
+    search.write_results(search.result_documents(asked, ranked, results_per_document=1), str(tmp_path / "out"))
+    lines = [json.loads(row.value) for row in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted((x["query_id"], x["document"], x["documents"]) for x in lines) == [(0, 0, 2), (0, 1, 2)]
+    assert all(json.loads(x["result"])["status"] == "success" for x in lines)
+    listed = search.listing(queries(spark, "sun", "nothing"), ranked).orderBy("query_id", "rank").collect()
+    assert [tuple(r) for r in listed] == [(0, 1, "2 552"), (0, 2, "1 101"), (1, 0, v.NOTHING_FOUND)]
     search.show_results(ranked)
     search.show_results(ranked.filter("false"))
     assert v.NOTHING_FOUND in capsys.readouterr().out

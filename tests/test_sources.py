@@ -18,29 +18,53 @@ def rows(df):
     return sorted(tuple(row) for row in df.collect())
 
 
-@pytest.mark.parametrize("splittable", [False, True, None])
-def test_pages_of_a_dump(spark, tmp_path, splittable):
+BOTH = pytest.mark.parametrize("whole_files", [False, True])
+
+
+@BOTH
+def test_pages_of_a_dump(spark, tmp_path, whole_files):
     (tmp_path / "d.xml").write_text(DUMP)
-    pages = xml.read_pages(spark, str(tmp_path / "d.xml"), splittable)
+    pages = xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files)
     assert rows(pages) == [
         ("1", "One & only", "a <b> </page>\nc"), ("2", "Two", ""), ("3", "Naïve", "é"),
     ]
 
 
+@BOTH
+def test_odd_start_tags_and_empty_pages(spark, tmp_path, whole_files):
+    starts = ["<page >", "<page\n\ta='x > y' b = \"1\" >", "<page/><page />\n<page>", "<page></page><page >"]
+    pages = "".join(f"{start}<title>T{i}</title><id>{i}</id></page>\n" for i, start in enumerate(starts))
+    (tmp_path / "d.xml").write_text(f"<mediawiki><pages>9</pages>\n{pages}<page/></mediawiki>")
+    found = xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files)
+    assert rows(found) == [(str(i), f"T{i}", "") for i in range(len(starts))]
+
+
+@BOTH
+@pytest.mark.parametrize(
+    "broken",
+    ["<page><id>one</id><title>bad id</title></page></mediawiki>", "<page><id>1</id><title>cut off", "<page><id>1</title></page></mediawiki>"],
+)
+def test_broken_pages_fail(spark, tmp_path, whole_files, broken):
+    (tmp_path / "d.xml").write_text("<mediawiki><page><id>1</id></page>" + broken)
+    with pytest.raises(Exception):
+        xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files).collect()
+
+
+def test_page_end_in_cdata(spark, tmp_path):
+    dump = DUMP.replace("a &lt;b&gt; &lt;/page&gt;", "<![CDATA[a <b> </page>]]>")
+    (tmp_path / "d.xml").write_text(dump)
+    assert ("1", "One & only", "a <b> </page>\nc") in rows(xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files=True))
+    with pytest.raises(Exception):
+        xml.read_pages(spark, str(tmp_path / "d.xml")).collect()
+
+
 def test_initial_capitals(spark, tmp_path):
     (tmp_path / "d.xml").write_text(DUMP)
     pages = xml.page_documents(xml.read_page_elements(spark, str(tmp_path / "d.xml")), initial_capitals=True)
     assert [r.Title for r in pages.orderBy("Id").collect()] == ["One & Only", "Two", "Naïve"]
 
 
-def test_broken_page_fails_instead_of_going_missing(spark, tmp_path):
-    broken = DUMP.replace("a &lt;b&gt; &lt;/page&gt;", "<![CDATA[ </page> ]]>")
-    (tmp_path / "d.xml").write_text(broken)
-    with pytest.raises(Exception):
-        xml.read_pages(spark, str(tmp_path / "d.xml"), splittable=True).collect()
-
-
-def test_large_file_is_read_in_several_splits(spark, tmp_path, monkeypatch):
+def test_large_file_is_read_in_several_splits(spark, tmp_path):
     pages = "".join(
         f"<page><title>T{i}</title><id>{i}</id><revision><text>{'body ' * 40}{i}</text></revision></page>\n"
         for i in range(2000)
@@ -48,11 +72,9 @@ def test_large_file_is_read_in_several_splits(spark, tmp_path, monkeypatch):
     (tmp_path / "d.xml").write_text(f"<mediawiki>\n{pages}</mediawiki>\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        split = xml.read_pages(spark, str(tmp_path / "d.xml"), splittable=True)
+        split = xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files=False)
         assert split.rdd.getNumPartitions() > 3
-        assert rows(split) == rows(xml.read_pages(spark, str(tmp_path / "d.xml"), splittable=False))
-        monkeypatch.setattr(xml, "WHOLE_FILE_BYTES", 65536)
-        assert xml.read_pages(spark, str(tmp_path / "d.xml")).rdd.getNumPartitions() > 3
+        assert rows(split) == rows(xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files=True))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
