@@ -8,7 +8,7 @@ a place begins a phrase depends on a few symbols around it only, so equal substr
 inside, whatever stands before them.
 
 The fingerprint keeps, for each level of :data:`LEVELS`, a one-permutation minimum sketch of its phrase names:
-``SLOTS`` slots of 16 bits, written as hexadecimal digits, ``----`` for an empty slot. Likeness is the mean over the
+``SLOTS`` slots with the last 8 bits of their minimum, written as hexadecimal digits, ``--`` for an empty slot. Likeness is the mean over the
 levels that either document has of the share of equal slots among those filled in either, so it estimates
 how many phrases are shared.
 
@@ -33,7 +33,8 @@ from termfold.session import stored
 
 LEVELS = (2, 3, 4)
 SLOTS = 32
-_EMPTY = 1 << 16
+_EMPTY = 1 << 8
+_NONE = 1 << 62
 #: Code points that are parsed together.
 PARSED_TOGETHER = 1 << 18
 
@@ -63,10 +64,10 @@ def _labels(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
     place = _PLACE[(differ & (~differ + np.uint64(1))) % np.uint64(67)]
     labels = (2 * place + ((symbols >> place.astype(np.uint64)) & np.uint64(1)).astype(np.uint8)).astype(np.uint8)
     for _ in range(3):
-        pair = labels.astype(np.int32) << 7
-        pair[1:] |= labels[:-1]
-        pair[first] |= labels[first] ^ 1
-        labels = _NEXT[pair]
+        left_labels = np.empty_like(labels)
+        left_labels[1:] = labels[:-1]
+        left_labels[first] = labels[first] ^ 1
+        labels = _NEXT[(labels.astype(np.int32) << 7) | left_labels]
     return labels
 
 
@@ -106,9 +107,9 @@ def _phrases(symbols: np.ndarray, texts: np.ndarray, level: int) -> tuple[np.nda
 def sketches(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sketch (levels * slots) of each text, from the code points of all and the n + 1 bounds."""
     n = len(offsets) - 1
-    out = np.full((n, len(LEVELS) * SLOTS), _EMPTY, np.int64)
+    out = np.full((n, len(LEVELS) * SLOTS), _NONE, np.int64)
     if not len(points):
-        return out
+        return np.full_like(out, _EMPTY)
     symbols = mixed(points.astype(np.uint64) + np.uint64(1))
     texts = np.repeat(np.arange(n), np.diff(offsets))
     for level in range(1, max(LEVELS) + 1):
@@ -116,8 +117,8 @@ def sketches(points: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         if level in LEVELS:
             at = LEVELS.index(level) * SLOTS
             slot = texts * out.shape[1] + at + (symbols & np.uint64(SLOTS - 1)).astype(np.int64)
-            np.minimum.at(out.reshape(-1), slot, (symbols >> np.uint64(48)).astype(np.int64))
-    return out
+            np.minimum.at(out.reshape(-1), slot, (symbols >> np.uint64(16)).astype(np.int64))
+    return np.where(out == _NONE, _EMPTY, out & (_EMPTY - 1))
 
 
 def text_sketches(texts: list[str]) -> np.ndarray:
@@ -139,7 +140,7 @@ def _sketched(points: list[np.ndarray]) -> np.ndarray:
 
 
 def written(sketch: np.ndarray) -> str:
-    return "".join("----" if x == _EMPTY else f"{x:04x}" for x in sketch.tolist())
+    return "".join("--" if x == _EMPTY else f"{x:02x}" for x in sketch.tolist())
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
