@@ -47,6 +47,8 @@ LONGEST = 8
 VERIFYING = 4.0
 #: Sequences that a task remembers to emit copies once.
 REMEMBERED = 500_000
+#: Nodes of a shingle that a list holds.
+LISTED = 4096
 
 _VALUES = lower_ascii(BYTE_VALUES)
 
@@ -188,17 +190,16 @@ def postings(docs: DataFrame, classes: np.ndarray, words: int = WORDS, threshold
 
 
 def _copies(survey: DataFrame) -> DataFrame:
-    """``doc_id, node`` of documents whose word sequence or id occurs before: their first document."""
+    """``node, component`` of the documents whose word sequence or id occurs more than once."""
     sized = survey.where("chunk is null and n > 0 and doc_id is not null").select("doc_id", "a", "b")
-    firsts = sized.groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("times"))
+    firsts = sized.groupBy("a", "b").agg(F.min("doc_id").alias("component"), F.count("*").alias("times"))
     firsts = stored(firsts.where("times > 1").drop("times"), "first_copies")
-    copies = stored(sized.join(firsts, ["a", "b"]).where("doc_id <> node").select("doc_id", "node"), "copies")
+    copies = stored(sized.join(firsts, ["a", "b"]).select(F.col("doc_id").alias("node"), "component"), "copies")
     texts = sized.groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("least"), F.max(F.struct("a", "b")).alias("most"))
-    if not texts.where("least <> most").limit(1).count():
-        return copies
-    # Ids with several texts tie the texts' nodes together.
-    tied = components(copies.select(F.col("doc_id").alias("x"), F.col("node").alias("y")))
-    return stored(tied.select(F.col("node").alias("doc_id"), F.col("component").alias("node")), "copies")
+    if texts.where("least <> most").limit(1).count():
+        # An id with several texts ties the groups of their copies together.
+        return components(copies.select(F.col("node").alias("x"), F.col("component").alias("y")))
+    return copies.distinct()
 
 
 def _required(a: str, b: str, threshold: Fraction) -> Column:
@@ -239,32 +240,31 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, threshold: Fraction)
 
 def _grouped(shared: DataFrame, known: DataFrame) -> DataFrame:
     """Postings with the group of their node."""
-    of = known.select(F.col("node"), F.col("component").alias("group"))
-    joined = shared.join(of, "node", "left")
+    joined = shared.join(known.withColumnRenamed("component", "group"), "node", "left")
     return joined.select("token", "node", "n", "p", F.coalesce("group", "node").alias("group"))
 
 
-def _mixed(postings_: DataFrame) -> DataFrame:
-    """Postings of shingles that more than one group has, with the first node of the first and of the last group."""
-    member = F.struct("group", "node", "n", "p")
-    ends = postings_.groupBy("token").agg(F.min(member).alias("low"), F.max(member).alias("high"))
-    ends = stored(ends.where("low.group <> high.group"), "mixed_shingles")
-    return stored(postings_.join(ends, "token"), "mixed_postings")
+def _ends(grouped: DataFrame, by: Column) -> DataFrame:
+    """Shingles that more than one group has, with a node of the first and one of the last group."""
+    member = F.struct("group", by.alias("by"), "node", "n", "p")
+    ends = grouped.groupBy("token").agg(F.min(member).alias("low"), F.max(member).alias("high"))
+    return stored(ends.where("low.group <> high.group"), "mixed_shingles")
 
 
 def links(docs: DataFrame, survey: DataFrame, copies: DataFrame, words: int, threshold: Fraction) -> DataFrame:
-    """``node, component`` of the nodes that have links."""
+    """``node, component`` of the documents that have copies or links."""
     classes = bucket_classes(survey)
     every = stored(postings(docs, classes, words, threshold), "postings")
     shared = every.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = stored(shared.where("low <> high").select("token"), "shared_shingles")
-    shared = every.join(shared, "token", "left_semi").join(copies, "doc_id", "left")
-    shared = shared.select("token", F.coalesce("node", "doc_id").alias("node"), "n", "p")
-    shared = stored(shared.dropDuplicates(["token", "node"]), "shared_postings")
-
-    known = docs.sparkSession.createDataFrame([], "node long, component long")
-    for _ in range(2):
-        rest = _mixed(_grouped(shared, known))
+    shared = every.join(shared, "token", "left_semi").withColumnRenamed("doc_id", "node")
+    shared = stored(shared, "shared_postings")
+
+    known = copies
+    for turn in range(2):
+        # Another node of each group in each round, as not every member is linked with all others.
+        grouped = _grouped(shared, known)
+        rest = grouped.join(_ends(grouped, F.xxhash64(F.lit(turn), "node")), "token")
         other = F.when(F.col("low.group") != F.col("group"), F.col("low")).otherwise(F.col("high"))
         near = rest.select(F.struct("node", "n", "p").alias("own"), other.alias("other"))
         near = near.where(_sizes_fit("own", "other", threshold))
@@ -274,16 +274,72 @@ def links(docs: DataFrame, survey: DataFrame, copies: DataFrame, words: int, thr
         best = stored(best.select(F.col("node").alias("x"), F.col("best.node").alias("y")), "near_pairs")
         known = _joined(known, verified(docs, best, words, threshold))
 
-    rest = _mixed(_grouped(shared, known)).select("token", F.struct("node", "n", "p", "group").alias("own"))
-    other = rest.select("token", F.col("own").alias("other"))
-    near = rest.join(other, "token").where(
-        (F.col("own.group") != F.col("other.group")) & (F.col("own.node") < F.col("other.node")) & _sizes_fit("own", "other", threshold)
-    )
-    left = near.groupBy("own", "other").count().where(F.col("count") >= _required("own", "other", threshold))
-    left = stored(left.select(F.col("own.node").alias("x"), F.col("other.node").alias("y")).distinct(), "remaining_pairs")
+    left = stored(_remaining_pairs(_grouped(shared, known), threshold), "remaining_pairs")
     return _joined(known, verified(docs, left, words, threshold))
 
 
+_MEMBER = ("node", "n", "p", "size", "group")
+
+
+def _remaining_pairs(grouped: DataFrame, threshold: Fraction) -> DataFrame:
+    """``x, y`` of different groups whose prefixes share what the pair requires.
+
+    A pair is counted from the side of the smaller group. Every node outside a shingle's largest group meets the nodes
+    of that shingle as lists, block by block (a block of nodes has at most about :data:`LISTED` in a list). The
+    matches of a node with all nodes of a block are counted at once, and only pairs with enough of them become rows.
+    """
+    of = grouped.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("most"))
+    rest = grouped.join(stored(of.where("least <> most").select("token"), "mixed_shingles"), "token", "left_semi")
+    rest = stored(rest, "mixed_postings")
+    sizes = stored(rest.groupBy("group").agg(F.count("*").alias("size")), "group_sizes")
+    rest = stored(rest.join(sizes, "group").select("token", *_MEMBER), "remaining_postings")
+    largest = rest.groupBy("token").agg(F.max(F.struct("size", "group")).alias("largest"), F.count("*").alias("all"))
+    largest = stored(largest, "largest_groups")
+    longest = largest.agg(F.max("all").alias("n")).first().n or 0
+    block = F.pmod(F.xxhash64("node"), F.lit(1 + longest // LISTED)).alias("block")
+    lists = rest.groupBy("token", block).agg(F.collect_list(F.struct(*_MEMBER)).alias("others"))
+    probes = rest.join(largest, "token").where(F.col("group") != F.col("largest.group")).select("token", *_MEMBER)
+    met = probes.join(lists, "token").select(*_MEMBER, "block", "others").repartition("node", "block")
+    met = met.sortWithinPartitions("node", "block", "n", "p")
+    num, den = threshold.numerator, threshold.denominator
+
+    def matched(own: tuple, lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+        node, n, p, size, group = own
+        others = pa.concat_arrays(lists)
+        columns = [others.field(name).to_numpy() for name in _MEMBER]
+        order = np.lexsort((columns[2], columns[1], columns[0]))
+        other, m, q, larger, their = (x[order] for x in columns)
+        first = np.ones(len(other), bool)
+        first[1:] = (other[1:] != other[:-1]) | (m[1:] != m[:-1]) | (q[1:] != q[:-1])
+        first = np.flatnonzero(first)
+        count = np.diff(np.append(first, len(other)))
+        other, m, q, larger, their = (x[first].astype(np.int64) for x in (other, m, q, larger, their))
+        required = np.maximum(1, (num * (n + m) + num + den - 1) // (num + den) + np.minimum(p - n, q - m))
+        fits = np.minimum(n, m) * den >= np.maximum(n, m) * num
+        after = (larger > size) | ((larger == size) & (their > group))
+        other = other[fits & (count >= required) & after]
+        return np.minimum(node, other), np.maximum(node, other)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own, lists = None, None, []
+
+        def counted_pairs() -> Iterator[pa.RecordBatch]:
+            if lists:
+                yield pa.record_batch([pa.array(x) for x in matched(own, lists)], ["x", "y"])
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            others = batch.column(6)
+            for i, (*row, block) in enumerate(zip(*columns)):
+                if (*row[:3], block) != key:
+                    yield from counted_pairs()
+                    key, own, lists = (*row[:3], block), tuple(row), []
+                lists.append(others[i].values)
+        yield from counted_pairs()
+
+    return met.mapInArrow(task, "x long, y long").distinct()
+
+
 def _joined(known: DataFrame, edges: DataFrame) -> DataFrame:
     """Groups after adding links."""
     before = known.select(F.col("node").alias("x"), F.col("component").alias("y")).where("x <> y")
@@ -296,9 +352,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: Fraction = T
     copies = _copies(survey)
     groups = links(docs, survey, copies, words, threshold)
     rows = survey.where("chunk is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"))
-    named = rows.join(copies, "doc_id", "left").withColumn("node", F.coalesce("node", "doc_id"))
-    found = named.join(groups, "node", "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
+    found = rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
