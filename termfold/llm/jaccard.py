@@ -189,17 +189,21 @@ def postings(docs: DataFrame, classes: np.ndarray, words: int = WORDS, threshold
     return used.mapInArrow(task, _POSTINGS)
 
 
-def _copies(survey: DataFrame) -> DataFrame:
-    """``node, component`` of the documents whose word sequence or id occurs more than once."""
+def _copies(survey: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, node`` of documents whose only text occurs before: its first document; and ids that several texts tie.
+
+    The second is ``node, component``, for ids with several different texts and the first documents of these texts.
+    """
     sized = survey.where("chunk is null and n > 0 and doc_id is not null").select("doc_id", "a", "b")
-    firsts = sized.groupBy("a", "b").agg(F.min("doc_id").alias("component"), F.count("*").alias("times"))
+    firsts = sized.groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.count("*").alias("times"))
     firsts = stored(firsts.where("times > 1").drop("times"), "first_copies")
-    copies = stored(sized.join(firsts, ["a", "b"]).select(F.col("doc_id").alias("node"), "component"), "copies")
+    copies = stored(sized.join(firsts, ["a", "b"]).where("doc_id <> node").select("doc_id", "node").distinct(), "copies")
     texts = sized.groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("least"), F.max(F.struct("a", "b")).alias("most"))
-    if texts.where("least <> most").limit(1).count():
-        # An id with several texts ties the groups of their copies together.
-        return components(copies.select(F.col("node").alias("x"), F.col("component").alias("y")))
-    return copies.distinct()
+    several = stored(texts.where("least <> most").select("doc_id"), "ids_of_several_texts")
+    if not several.limit(1).count():
+        return copies, survey.sparkSession.createDataFrame([], "node long, component long")
+    tied = copies.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("x"), F.col("node").alias("y"))
+    return stored(copies.join(several, "doc_id", "left_anti"), "copies"), components(tied)
 
 
 def _required(a: str, b: str, threshold: Fraction) -> Column:
@@ -251,16 +255,19 @@ def _ends(grouped: DataFrame, by: Column) -> DataFrame:
     return stored(ends.where("low.group <> high.group"), "mixed_shingles")
 
 
-def links(docs: DataFrame, survey: DataFrame, copies: DataFrame, words: int, threshold: Fraction) -> DataFrame:
-    """``node, component`` of the documents that have copies or links."""
+def links(
+    docs: DataFrame, survey: DataFrame, copies: DataFrame, known: DataFrame, words: int, threshold: Fraction
+) -> DataFrame:
+    """``node, component`` of the nodes that have links, from the groups known before."""
     classes = bucket_classes(survey)
     every = stored(postings(docs, classes, words, threshold), "postings")
     shared = every.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = stored(shared.where("low <> high").select("token"), "shared_shingles")
-    shared = every.join(shared, "token", "left_semi").withColumnRenamed("doc_id", "node")
-    shared = stored(shared, "shared_postings")
+    shared = every.join(shared, "token", "left_semi").join(copies, "doc_id", "left")
+    shared = shared.select("token", F.coalesce("node", "doc_id").alias("node"), "n", "p")
+    # Different texts of one id differ in n and p, or count as one at first and are told apart when they are verified.
+    shared = stored(shared.distinct(), "shared_postings")
 
-    known = copies
     for turn in range(2):
         # Another node of each group in each round, as not every member is linked with all others.
         grouped = _grouped(shared, known)
@@ -299,25 +306,29 @@ def _remaining_pairs(grouped: DataFrame, threshold: Fraction) -> DataFrame:
     block = F.pmod(F.xxhash64("node"), F.lit(1 + longest // LISTED)).alias("block")
     lists = rest.groupBy("token", block).agg(F.collect_list(F.struct(*_MEMBER)).alias("others"))
     probes = rest.join(largest, "token").where(F.col("group") != F.col("largest.group")).select("token", *_MEMBER)
-    met = probes.join(lists, "token").select(*_MEMBER, "block", "others").repartition("node", "block")
-    met = met.sortWithinPartitions("node", "block", "n", "p")
     num, den = threshold.numerator, threshold.denominator
 
+    def may_link(x: Column) -> Column:
+        after = (x["size"] > F.col("size")) | ((x["size"] == F.col("size")) & (x["group"] > F.col("group")))
+        return after & (F.least("n", x["n"]) * den >= F.greatest("n", x["n"]) * num)
+
+    partners = F.transform(F.filter("others", may_link), lambda x: F.struct(x["node"], x["n"], x["p"]))
+    met = probes.join(lists, "token").select("node", "n", "p", "block", partners.alias("others"))
+    met = met.where(F.size("others") > 0).repartition("node", "block").sortWithinPartitions("node", "block", "n", "p")
+
     def matched(own: tuple, lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
-        node, n, p, size, group = own
+        node, n, p = own
         others = pa.concat_arrays(lists)
-        columns = [others.field(name).to_numpy() for name in _MEMBER]
+        columns = [others.field(i).to_numpy().astype(np.int64) for i in range(3)]
         order = np.lexsort((columns[2], columns[1], columns[0]))
-        other, m, q, larger, their = (x[order] for x in columns)
+        other, m, q = (x[order] for x in columns)
         first = np.ones(len(other), bool)
         first[1:] = (other[1:] != other[:-1]) | (m[1:] != m[:-1]) | (q[1:] != q[:-1])
         first = np.flatnonzero(first)
         count = np.diff(np.append(first, len(other)))
-        other, m, q, larger, their = (x[first].astype(np.int64) for x in (other, m, q, larger, their))
+        other, m, q = other[first], m[first], q[first]
         required = np.maximum(1, (num * (n + m) + num + den - 1) // (num + den) + np.minimum(p - n, q - m))
-        fits = np.minimum(n, m) * den >= np.maximum(n, m) * num
-        after = (larger > size) | ((larger == size) & (their > group))
-        other = other[fits & (count >= required) & after]
+        other = other[count >= required]
         return np.minimum(node, other), np.maximum(node, other)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,12 +339,11 @@ def _remaining_pairs(grouped: DataFrame, threshold: Fraction) -> DataFrame:
                 yield pa.record_batch([pa.array(x) for x in matched(own, lists)], ["x", "y"])
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            others = batch.column(6)
-            for i, (*row, block) in enumerate(zip(*columns)):
-                if (*row[:3], block) != key:
+            others = batch.column(4)
+            for i, row in enumerate(zip(*(batch.column(j).to_pylist() for j in range(4)))):
+                if row != key:
                     yield from counted_pairs()
-                    key, own, lists = (*row[:3], block), tuple(row), []
+                    key, own, lists = row, row[:3], []
                 lists.append(others[i].values)
         yield from counted_pairs()
 
@@ -349,11 +359,12 @@ def _joined(known: DataFrame, edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: Fraction = THRESHOLD) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     survey = stored(_survey(docs, words), "survey")
-    copies = _copies(survey)
-    groups = links(docs, survey, copies, words, threshold)
+    copies, tied = _copies(survey)
+    groups = links(docs, survey, copies, tied, words, threshold)
     rows = survey.where("chunk is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"))
-    found = rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    named = rows.join(copies, "doc_id", "left").withColumn("node", F.coalesce("node", "doc_id"))
+    found = named.join(groups, "node", "left")
+    return found.select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id"))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
