@@ -24,9 +24,7 @@ from termfold.sources import tables, xml
 try:
     import corpus_pipeline
     from termfold.llm import registry as llm
-except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "termfold.llm"):
-        raise
+except ImportError:  # the folder is not there, or a package it needs
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,7 +92,7 @@ def _vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, ("vocabulary", sf_dir), lambda: index_build.batched_vocabulary(counts))
 
 
-def _index(spark: SparkSession, sf_dir: str, stem: bool = False) -> tuple[DataFrame, DataFrame]:
+def _index(spark: SparkSession, sf_dir: str, stem: bool = False) -> index_build.Index:
     counts = _counts(spark, sf_dir, stem)
 
     def make() -> str:
@@ -340,11 +338,11 @@ def _index_rows(index: DataFrame) -> DataFrame:
 
 
 def index_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index_rows(_index(spark, sf_dir)[0])
+    return _index_rows(_index(spark, sf_dir).primary)
 
 
 def stemmed_index_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _index_rows(_index(spark, sf_dir, stem=True)[0])
+    return _index_rows(_index(spark, sf_dir, stem=True).primary)
 
 
 # --- search -------------------------------------------------------------------
@@ -367,14 +365,14 @@ def secondary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = stored(query_terms(spark, sf_dir), "query_terms")
-    found = search.term_lookup(terms, *_index(spark, sf_dir))
+    found = search.term_lookup(terms, _index(spark, sf_dir))
     return postings.encode_postings(found).select(
         "query_id", "Word", "repeats", "segment", "Document_Counts"
     )
 
 
 def search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.search(_queries(spark, sf_dir), *_index(spark, sf_dir), stem=False)
+    return search.search(_queries(spark, sf_dir), _index(spark, sf_dir), stem=False)
 
 
 def search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,7 +394,7 @@ def search_result_json_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stemmed_search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _index(spark, sf_dir, stem=True)
-    return search.rank_results(search.search(_queries(spark, sf_dir), *index, stem=True))
+    return search.rank_results(search.search(_queries(spark, sf_dir), index, stem=True))
 
 
 # --- keyed documents ----------------------------------------------------------
@@ -450,7 +448,9 @@ def keyed_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):  # the second time it is there already
         keyed.create_if_missing(spark, name, documents.schema, path)
     documents.write.insertInto(name)
-    return spark.table(name)
+    created = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+    return spark.read.schema(created).parquet(path)
 
 
 def keyed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:

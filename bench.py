@@ -38,7 +38,7 @@ def main() -> None:
 
     def find(asked: DataFrame, path: str, stem: bool) -> None:
         index = index_build.read_index(spark, path)
-        run(search.rank_results(search.search(asked, *index, stem=stem)))
+        run(search.rank_results(search.search(asked, index, stem=stem)))
 
     jobs = {
         "extract_fields_to_arrays": lambda: run(tokenize_documents(field_documents(pages))),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,35 @@ POSTINGS_PER_FILE = 10_000_000
 POSTING_TYPE = ", ".join(["doc_id: string", *[f"{name}: bigint" for name in scoring.COUNTS]])
 PRIMARY_SCHEMA = f"Word string, segment int, Postings array<struct<{POSTING_TYPE}>>, batch int"
 SECONDARY_SCHEMA = "batch int, first_word string"
+MANIFEST_SCHEMA = "batch int, file string, first_word string, last_word string, rows long"
+
+
+@dataclass(frozen=True)
+class Index:
+    """A written index. Tables are opened when they are asked for: only ``primary`` lists all batch folders."""
+
+    spark: SparkSession
+    path: str
+
+    @property
+    def secondary(self) -> DataFrame:
+        return self.spark.read.schema(SECONDARY_SCHEMA).parquet(f"{self.path}/secondary")
+
+    @property
+    def manifest(self) -> DataFrame:
+        """``(batch, file, first_word, last_word, rows)`` of every file of the primary index."""
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.path}/manifest")
+
+    @property
+    def primary(self) -> DataFrame:
+        return self.spark.read.schema(PRIMARY_SCHEMA).parquet(f"{self.path}/primary")
+
+    def files(self, names: list[str]) -> DataFrame:
+        """The primary index in some of its files; no folder is listed."""
+        base = f"{self.path}/primary"
+        if not names:
+            return self.spark.createDataFrame([], PRIMARY_SCHEMA)
+        return self.spark.read.schema(PRIMARY_SCHEMA).option("basePath", base).parquet(*[f"{base}/{n}" for n in names])
 
 
 def batched_vocabulary(counts: DataFrame, batch_size: int = v.BATCH_SIZE) -> DataFrame:
@@ -98,6 +129,19 @@ def write_secondary(secondary: DataFrame, path: str) -> None:
     secondary.sortWithinPartitions("batch").write.mode("overwrite").parquet(path)
 
 
+def write_manifest(spark: SparkSession, path: str) -> None:
+    """Note which files hold which batch and words: listed once here, not by every search.
+
+    Reads the word column of the written index. File names are relative, so an index can be moved.
+    """
+    words = Index(spark, path).primary.select("batch", F.col("_metadata.file_path").alias("file"), "Word")
+    files = words.groupBy("batch", "file").agg(
+        F.min("Word").alias("first_word"), F.max("Word").alias("last_word"), F.count("*").alias("rows")
+    )
+    files = files.withColumn("file", F.substring_index("file", "/primary/", -1))
+    files.repartitionByRange("batch").sortWithinPartitions("batch", "first_word").write.mode("overwrite").parquet(f"{path}/manifest")
+
+
 def export_secondary_text(secondary: DataFrame, path: str) -> None:
     """One first word per line, line number = batch number: the order is the format, so it is one file.
 
@@ -120,17 +164,17 @@ def write_index(
     segment_size: int = SEGMENT_SIZE,
     postings_per_file: int = POSTINGS_PER_FILE,
 ) -> None:
-    """Write ``<path>/primary`` and ``<path>/secondary`` from stored term-document counts."""
+    """Write ``<path>/primary``, ``secondary`` and ``manifest`` from stored term-document counts."""
     with reused(batched_vocabulary(counts, batch_size)) as vocabulary:
         write_secondary(secondary_index(vocabulary), f"{path}/secondary")
         postings = batched_postings(counts, vocabulary, segment_size, postings_per_file)
         write_primary(postings, f"{path}/primary")
+    write_manifest(counts.sparkSession, path)
 
 
-def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Primary and secondary index; the schemas are known, so no file is opened for them."""
-    primary = spark.read.schema(PRIMARY_SCHEMA).parquet(f"{path}/primary")
-    return primary, spark.read.schema(SECONDARY_SCHEMA).parquet(f"{path}/secondary")
+def read_index(spark: SparkSession, path: str) -> Index:
+    """A written index; the schemas are known, so no file is opened for them."""
+    return Index(spark, path)
 
 
 def page_counts(

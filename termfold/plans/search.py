@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections import defaultdict
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termfold import values as v
 from termfold.functions import scoring, stemming, tokens
 from termfold.operators.lookup import locate_words, secondary_lookup
 from termfold.operators.ranking import ranked
-from termfold.session import stored
+from termfold.plans.index_build import Index
+from termfold.session import scratch_run, stored
 
 # Up to this many distinct words are looked up one by one before the index is read.
 PRUNED_WORDS = 500
+# Up to this many files are read by name.
+NAMED_FILES = 2000
+# Values of the hash by which other words' rows leave the scan: the bound of what is sent to all tasks.
+WORD_BUCKETS = 1 << 20
 # Hits per result document. A query with more gets several documents.
 RESULTS_PER_DOCUMENT = 100_000
 
@@ -33,24 +40,56 @@ def query_terms(queries: DataFrame, stem: bool = True, stemmer: str = "extended"
     )
 
 
-def term_lookup(terms: DataFrame, primary: DataFrame, secondary: DataFrame) -> DataFrame:
+def word_bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+
+
+def _files_of(index: Index, located: dict[str, int]) -> list[str] | None:
+    """Files that can hold one of the located words; None if there are too many to name."""
+    of_batch = defaultdict(list)
+    for word, batch in located.items():
+        of_batch[batch].append(word)
+    rows = index.manifest.where(F.col("batch").isin(sorted(of_batch))).limit(NAMED_FILES + 1).collect()
+    if len(rows) > NAMED_FILES:
+        return None
+    return sorted(r.file for r in rows if any(r.first_word <= w <= r.last_word for w in of_batch[r.batch]))
+
+
+def few_words(words: list[str], terms: DataFrame, index: Index) -> DataFrame:
+    """Postings of words in hand. The manifest names the files of their batches; words are pushed down to the scan."""
+    located = locate_words(index.secondary, words)
+    files = _files_of(index, located)
+    if files is None:
+        rows = index.primary.where(F.col("batch").isin(sorted(set(located.values()))))
+    else:
+        rows = index.files(files)
+    # A few hundred words and the queries that ask for them: the smaller side, but known to be so only at run time.
+    return rows.where(F.col("Word").isin(sorted(located))).join(terms, "Word")
+
+
+def many_words(terms: DataFrame, index: Index) -> DataFrame:
+    """Postings of any number of words.
+
+    The batch column prunes the scan at run time. Rows of other words in those batches leave the scan by a hash of the
+    word, of which there are at most :data:`WORD_BUCKETS`, before the exact join moves any posting list.
+    """
+    located = secondary_lookup(terms, index.secondary)
+    placed = stored(terms.join(located, "Word"), "placed_terms")
+    # Always true, but pruning at run time needs a comparison on the smaller side.
+    placed = placed.filter(F.col("batch") >= 0)
+    asked = F.broadcast(placed.select(word_bucket(F.col("Word")).alias("word_bucket")).distinct())
+    rows = index.primary.withColumn("word_bucket", word_bucket(F.col("Word")))
+    rows = rows.join(asked, "word_bucket", "left_semi").drop("word_bucket")
+    return rows.join(placed, ["batch", "Word"])
+
+
+def term_lookup(terms: DataFrame, index: Index) -> DataFrame:
     """``(query_id, Word, repeats, segment, Postings)`` of all terms in the index.
 
-    Words are looked up in the secondary index first, so that only their batches
-    are read: a few words on the driver, which also pushes them down to the scan,
-    many words as a join whose batch column prunes the scan at run time.
+    Words are looked up in the secondary index first, so that only their batches are read.
     """
     words = [row.Word for row in terms.select("Word").distinct().limit(PRUNED_WORDS + 1).collect()]
-    if len(words) <= PRUNED_WORDS:
-        located = locate_words(secondary, words)
-        batches = F.col("batch").isin(sorted(set(located.values())))
-        found = primary.filter(batches & F.col("Word").isin(sorted(located))).join(terms, "Word")
-    else:
-        located = secondary_lookup(terms, secondary)
-        placed = stored(terms.join(located, "Word"), "placed_terms")
-        # Always true, but pruning at run time needs a comparison on the smaller side.
-        placed = placed.filter(F.col("batch") >= 0)
-        found = primary.join(placed, ["batch", "Word"])
+    found = few_words(words, terms, index) if len(words) <= PRUNED_WORDS else many_words(terms, index)
     return found.select("query_id", "Word", "repeats", "segment", "Postings")
 
 
@@ -67,15 +106,14 @@ def score_documents(found: DataFrame, weights: dict[str, int] = v.WEIGHTS) -> Da
 
 def search(
     queries: DataFrame,
-    primary: DataFrame,
-    secondary: DataFrame,
+    index: Index,
     stem: bool = True,
     stemmer: str = "extended",
     weights: dict[str, int] = v.WEIGHTS,
 ) -> DataFrame:
     """Scores of every document that holds a term of a query."""
     terms = stored(query_terms(queries, stem, stemmer), "query_terms")
-    return score_documents(term_lookup(terms, primary, secondary), weights)
+    return score_documents(term_lookup(terms, index), weights)
 
 
 def rank_results(scores: DataFrame) -> DataFrame:
@@ -143,3 +181,17 @@ def show_results(ranked_scores: DataFrame, rows: int = 20) -> None:
         print(v.NOTHING_FOUND)
     else:
         best.show(rows, truncate=False)
+
+
+def search_job(
+    spark: SparkSession,
+    queries: DataFrame,
+    index_path: str,
+    output: str,
+    results_per_document: int = RESULTS_PER_DOCUMENT,
+    **searching,
+) -> None:
+    """Search a written index for ``(query_id, query)`` and write the result documents; nothing else is left behind."""
+    with scratch_run(spark):
+        ranked_scores = stored(rank_results(search(queries, Index(spark, index_path), **searching)), "ranked_results")
+        write_results(result_documents(queries, ranked_scores, results_per_document), output)

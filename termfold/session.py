@@ -5,6 +5,7 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
 from pathlib import Path
@@ -69,6 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{uuid.uuid4().hex}/{name}"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder wherever it is; DataFrames have no call for that, so this goes to the file system's own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch_run(spark: SparkSession):
     """Delete what the block stored in the scratch folder when it ends.
@@ -81,8 +88,13 @@ def scratch_run(spark: SparkSession):
         yield
     finally:
         _run_folder.reset(outer)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
+
+
+def saved(spark: SparkSession, make: Callable[[], DataFrame], path: str, format: str = "parquet", mode: str = "error") -> None:
+    """Write the DataFrame that ``make`` returns, and delete what it has stored in the scratch folder on the way."""
+    with scratch_run(spark):
+        make().write.format(format).mode(mode).save(path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -98,7 +98,8 @@ def test_written_index(spark, tmp_path):
     counts = stored(term_documents(spark), "counts")
     path = str(tmp_path / "index")
     index_build.write_index(counts, path, batch_size=10, segment_size=50)
-    primary, secondary = index_build.read_index(spark, path)
+    index = index_build.read_index(spark, path)
+    primary, secondary = index.primary, index.secondary
     words = sorted({row.Word for row in counts.collect()})
     assert {row.Word: row.batch for row in primary.collect()} == {w: i // 10 for i, w in enumerate(words)}
     assert {row.batch: row.first_word for row in secondary.collect()} == dict(enumerate(words[::10]))
@@ -111,7 +112,8 @@ def test_written_index(spark, tmp_path):
 
     # A smaller index replaces all batches of the larger one.
     index_build.write_index(counts.filter("Word = 'hot'"), path, batch_size=10)
-    primary, secondary = index_build.read_index(spark, path)
+    index = index_build.read_index(spark, path)
+    primary, secondary = index.primary, index.secondary
     assert primary.count() == 1 and secondary.count() == 1
 
 
@@ -124,7 +126,7 @@ def test_large_batches_and_frequent_words_are_written_by_many_tasks(spark, tmp_p
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len([f for f in os.listdir(f"{path}/primary/batch=0") if f.endswith(".parquet")]) == 4
-    primary, _ = index_build.read_index(spark, path)
+    primary = index_build.read_index(spark, path).primary
     as_built = postings.inverted_index(counts, 20)
     assert sorted(primary.select(as_built.columns).collect()) == sorted(as_built.collect())
 
@@ -154,7 +156,7 @@ def test_build_leaves_only_the_index(spark, tmp_path):
     before = set(os.listdir(f"{scratch_folder(spark)}/termfold"))
     index_build.build_index(pages, str(tmp_path / "i"))
     assert set(os.listdir(f"{scratch_folder(spark)}/termfold")) == before
-    primary, _ = index_build.read_index(spark, str(tmp_path / "i"))
+    primary = index_build.read_index(spark, str(tmp_path / "i")).primary
     counts = {row.Word: tuple(row.Postings[0])[1:] for row in primary.collect()}
     assert counts == {"cat": (1, 0, 0, 0, 0), "run": (0, 1, 0, 0, 0), "big": (0, 0, 0, 1, 0),
                       "x": (0, 0, 0, 0, 1), "y": (0, 0, 1, 0, 0)}

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Row
 
 from termfold.operators import keyed
@@ -35,21 +36,121 @@ def files_of(path):
     return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
 
 
-def test_a_put_replaces_only_its_buckets(spark, tmp_path):
-    stones = [(str(i), f"stone {i}", i) for i in range(200)]
-    keyed.write_keyed_table(spark.createDataFrame(stones, STONES), str(tmp_path), buckets=16)
+def stones_table(spark, tmp_path, n=200, **sizes):
+    stones = [(f"{i:04d}", f"stone {i}", i) for i in range(n)]
+    path = str(tmp_path / "stones")
+    keyed.write_keyed_table(spark.createDataFrame(stones, STONES).repartition(3), path, **sizes)
+    return path, stones
+
+
+def scanned(spark, path, version=None):
+    return sorted(tuple(r) for r in keyed.read_keyed_table(spark, path, version).collect())
+
+
+def put(spark, path, *rows, **sizes):
+    keyed.put_documents(spark, path, spark.createDataFrame(list(rows), STONES + ", at long"), sequence="at", **sizes)
+
+
+def test_a_put_writes_only_its_rows(spark, tmp_path):
+    path, stones = stones_table(spark, tmp_path)
     before = files_of(tmp_path)
-    puts = spark.createDataFrame([("2", None, 31, 1), ("new", "agate", 40, 1)], STONES + ", at long")
     for _ in range(2):  # the same puts again change nothing
-        keyed.put_documents(spark, str(tmp_path), puts, buckets=16, cells=["Stone", "Weight"], sequence="at")
-        found = sorted(tuple(r) for r in keyed.read_keyed_table(spark, str(tmp_path)).collect())
-        assert found == sorted([s for s in stones if s[0] != "2"] + [("2", "stone 2", 31), ("new", "agate", 40)])
+        put(spark, path, ("0002", None, 31, 1), ("new", "agate", 39, 1), ("new", None, 40, 2), (None, "lost", 1, 1))
+        assert scanned(spark, path) == sorted([s for s in stones if s[0] != "0002"] + [("0002", "stone 2", 31), ("new", "agate", 40)])
     after = files_of(tmp_path)
-    assert len([f for f in before if after.get(f) == before[f]]) >= 14
-    keyed.put_documents(spark, str(tmp_path), puts.limit(0), buckets=16, cells=["Stone", "Weight"], sequence="at")
+    assert {f: after[f] for f in before} == before
+    assert spark.read.parquet(*[f for f in after if f not in before]).count() == 4
+    keyed.put_documents(spark, path, spark.createDataFrame([], STONES + ", at long"), sequence="at")
     assert files_of(tmp_path) == after
 
 
+def test_readers_see_one_version(spark, tmp_path):
+    path, stones = stones_table(spark, tmp_path)
+    reading = keyed.read_keyed_table(spark, path)
+    put(spark, path, ("0000", "marl", None, 1))
+    keyed.compact(spark, path)
+    assert sorted(tuple(r) for r in reading.collect()) == stones == scanned(spark, path, 1)
+    assert scanned(spark, path) == scanned(spark, path, 2) == [("0000", "marl", 0), *stones[1:]]
+
+
+def test_later_puts_win_cell_by_cell_whatever_their_sequence_number(spark, tmp_path):
+    path, stones = stones_table(spark, tmp_path)
+    put(spark, path, ("0001", "first", 1, 9), ("x", "a", None, 9))
+    put(spark, path, ("0001", "second", None, 1), ("x", None, 2, 1))
+    found = {r[0]: r[1:] for r in scanned(spark, path)}
+    assert found["0001"] == ("second", 1) and found["x"] == ("a", 2)
+    keyed.compact(spark, path)
+    assert {r[0]: r[1:] for r in scanned(spark, path)} == found
+
+
+def test_regions_are_kept_with_the_table_and_grow(spark, tmp_path):
+    path, stones = stones_table(spark, tmp_path, rows_per_region=50)
+    assert keyed.table_state(spark, path).regions == 4
+    more = [(f"{i:04d}", "more", i, 1) for i in range(150, 350)]
+    put(spark, path, *more, rows_per_region=50)  # more than the share: merged at once
+    state = keyed.table_state(spark, path)
+    assert (state.rows, state.regions, state.logs) == (350, 7, [])
+    assert scanned(spark, path) == stones[:150] + [m[:3] for m in more]
+    # Sorted by key in regions that follow each other.
+    files = [sorted(r.Id for r in spark.read.parquet(f).collect()) for f in files_of(tmp_path) if state.base in f]
+    files = sorted(f for f in files if f)
+    assert len(files) == 7 and sum(files, []) == sorted(sum(files, []))
+    # A put without sizes of its own does not mind how the table was written.
+    put(spark, path, ("0003", "chalk", None, 1), ("0400", "slate", 1, 1))
+    assert len(scanned(spark, path)) == 351
+
+
+def test_conditions_on_the_key_reach_base_and_logs(spark, tmp_path):
+    path, stones = stones_table(spark, tmp_path, rows_per_region=50)
+    put(spark, path, ("0002", "talc", None, 1), ("9", "new", 1, 1))
+    some = keyed.read_keyed_table(spark, path).where("Id >= '0100' AND Id < '0103'")
+    assert sorted(tuple(r) for r in some.collect()) == stones[100:103]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThanOrEqual(Id,0100)") >= 3
+
+
+def test_many_logs_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "MOST_LOGS", 2)
+    path, stones = stones_table(spark, tmp_path)
+    for i in range(3):
+        put(spark, path, ("0000", f"put {i}", i, 1))
+    assert keyed.table_state(spark, path).logs == []
+    assert scanned(spark, path)[0] == ("0000", "put 2", 2)
+
+
+def test_expire_leaves_the_newest_version(spark, tmp_path):
+    path, stones = stones_table(spark, tmp_path)
+    put(spark, path, ("0000", "marl", None, 1))
+    keyed.compact(spark, path)
+    put(spark, path, ("0001", "tuff", None, 1))
+    expected = scanned(spark, path)
+    keyed.expire(spark, path)
+    assert scanned(spark, path) == expected
+    state = keyed.table_state(spark, path)
+    assert sorted(p.name for p in (tmp_path / "stones").iterdir()) == sorted([state.base, *state.logs, "versions"])
+    with pytest.raises(FileNotFoundError):
+        keyed.read_keyed_table(spark, path, 1)
+
+
+def test_empty_missing_and_replaced_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        keyed.read_keyed_table(spark, path)
+    keyed.write_keyed_table(spark.createDataFrame([], STONES), path)
+    assert scanned(spark, path) == []
+    put(spark, path, ("1", "agate", 1, 1))
+    assert scanned(spark, path) == [("1", "agate", 1)]
+    keyed.write_keyed_table(spark.createDataFrame([("2", "flint", 2)], STONES), path)
+    assert scanned(spark, path) == [("2", "flint", 2)]
+
+
+def test_large_logs_are_joined_without_sending_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "SENT_BYTES", 0)
+    path, stones = stones_table(spark, tmp_path)
+    put(spark, path, ("0000", "marl", None, 1), ("z", "new", 1, 1))
+    assert scanned(spark, path) == [("0000", "marl", 0), *stones[1:], ("z", "new", 1)]
+
+
 def test_puts_of_one_sequence_number_have_a_defined_winner(spark):
     puts = spark.createDataFrame([("1", "b", 1), ("1", "c", 1), ("1", "a", 1)], "Id string, t string, at long")
     assert keyed.last_puts(puts, "Id", ["t"], "at").first().t == "c"

@@ -1,10 +1,12 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from termfold import values as v
 from termfold.plans import index_build, search
+from termfold.session import scratch_folder, scratch_run, stored
 
 PAGES = [
     ("1", "Planets", "lead {{Infobox planet sun}} planets orbit the sun external links nasa [[Category:Space]]"),
@@ -37,7 +39,7 @@ def test_query_terms(spark):
 
 
 def test_scores(spark, index):
-    found = scores(search.search(queries(spark, "sun", "planets sun sun", "AAA", "cats x"), *index))
+    found = scores(search.search(queries(spark, "sun", "planets sun sun", "AAA", "cats x"), index))
     sun_1 = 1 + 50 + 50  # once in the body, once in the infobox, base score
     sun_2 = 500 + 2 + 50
     planet_1 = 500 + 1 + 50 + 50
@@ -50,21 +52,74 @@ def test_scores(spark, index):
 
 def test_many_words_take_the_join_with_the_same_result(spark, index, monkeypatch):
     asked = queries(spark, "sun", "planets sun sun", "AAA", "cats x 0 zzz")
-    expected = scores(search.search(asked, *index))
+    expected = scores(search.search(asked, index))
     monkeypatch.setattr(search, "PRUNED_WORDS", 0)
-    assert scores(search.search(asked, *index)) == expected
+    assert scores(search.search(asked, index)) == expected
+
+
+def test_rows_of_other_words_leave_the_scan_before_lists_move(spark, index, monkeypatch):
+    """Also where the wanted words are too many to be sent to every task."""
+    monkeypatch.setattr(search, "PRUNED_WORDS", 0)
+    asked = queries(spark, "sun", "planets sun sun", "AAA", "cats x 0 zzz")
+    expected = scores(search.search(asked, index))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = search.term_lookup(search.query_terms(asked), index)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scan = plan[plan.index("Postings#"):]
+        # From the scan upwards: the hash join by word bucket, and only then an exchange of rows with their lists.
+        below = [line for line in scan.splitlines() if "Postings#" in line or "BroadcastHashJoin" in line or "Exchange" in line]
+        semi = next(i for i, line in enumerate(below) if "LeftSemi" in line)
+        moved = next(i for i, line in enumerate(below) if "Exchange hashpartitioning(batch" in line)
+        assert moved < semi  # plans are printed from the top
+        assert "Exchange hashpartitioning" not in "".join(below[semi + 1 : semi + 2])
+        assert scores(search.search(asked, index)) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_manifest_names_every_file_once(spark, index):
+    rows = index.manifest.collect()
+    assert sum(r.rows for r in rows) == index.primary.count()
+    assert len({r.file for r in rows}) == len(rows)
+    for row in rows:
+        words = sorted(r.Word for r in index.files([row.file]).collect())
+        assert (words[0], words[-1], len(words)) == (row.first_word, row.last_word, row.rows)
+    assert index.files([]).collect() == []
+
+
+def test_a_search_opens_only_located_files(spark, index, monkeypatch):
+    asked = queries(spark, "cats")
+    terms = search.query_terms(asked)
+    opened = search.term_lookup(terms, index).inputFiles()
+    files = {r.file for r in index.manifest.where("first_word <= 'cat' AND last_word >= 'cat'").collect()}
+    assert {f.split("/primary/")[-1] for f in opened if "/primary/" in f} == files and len(files) == 1
+    expected = scores(search.search(asked, index))
+    monkeypatch.setattr(search, "NAMED_FILES", 0)
+    assert scores(search.search(asked, index)) == expected
+
+
+def test_a_search_job_leaves_only_its_result(spark, index, tmp_path):
+    with scratch_run(spark):
+        stored(index.secondary, "before")
+    folder = f"{scratch_folder(spark)}/termfold"
+    before = set(os.listdir(folder))
+    out = str(tmp_path / "out")
+    search.search_job(spark, queries(spark, "sun", "nothing"), index.path, out)
+    assert set(os.listdir(folder)) == before
+    found = {json.loads(r.value)["query_id"]: json.loads(json.loads(r.value)["result"]) for r in spark.read.text(out).collect()}
+    assert [hit["key"] for hit in found[0]["results"]] == ["2", "1"] and found[1]["status"] == "error"
 
 
 def test_only_the_batches_of_the_words_are_read(spark, index):
     terms = search.query_terms(queries(spark, "cats"))
-    plan = search.term_lookup(terms, *index)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [batch" in plan or "PartitionFilters: [isnotnull(batch" in plan
+    plan = search.term_lookup(terms, index)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(Word), EqualTo(Word,cat)" in plan or "In(Word, [cat])" in plan
 
 
 def test_results_as_json(spark, index):
     asked = queries(spark, 'the "sun"', "nothing")
-    ranked = search.rank_results(search.search(asked, *index))
+    ranked = search.rank_results(search.search(asked, index))
     documents = {row.query_id: json.loads(row.json) for row in search.result_documents(asked, ranked).collect()}
     assert documents[0] == {
         "string": 'the "sun"', "status": "success",
@@ -75,7 +130,7 @@ def test_results_as_json(spark, index):
 
 def test_long_results_come_in_parts(spark, index):
     asked = queries(spark, "sun space cats")
-    ranked = search.rank_results(search.search(asked, *index))
+    ranked = search.rank_results(search.search(asked, index))
     parts = search.result_documents(asked, ranked, results_per_document=2).orderBy("document").collect()
     keys = [[hit["key"] for hit in json.loads(row.json)["results"]] for row in parts]
     order = [row.key for row in ranked.orderBy("rank").collect()]
@@ -84,7 +139,7 @@ def test_long_results_come_in_parts(spark, index):
 
 def test_result_file_and_listing(spark, index, tmp_path, capsys):
     asked = search.single_query(spark, "sun")
-    ranked = search.rank_results(search.search(asked, *index))
+    ranked = search.rank_results(search.search(asked, index))
     search.write_results(search.result_documents(asked, ranked, results_per_document=1), str(tmp_path / "out"))
     lines = [json.loads(row.value) for row in spark.read.text(str(tmp_path / "out")).collect()]
     assert sorted((x["query_id"], x["document"], x["documents"]) for x in lines) == [(0, 0, 2), (0, 1, 2)]
@@ -98,5 +153,5 @@ def test_result_file_and_listing(spark, index, tmp_path, capsys):
 
 def test_weights_can_be_set(spark, index):
     weights = {**v.WEIGHTS, "title": 1, "base": 0}
-    found = scores(search.search(queries(spark, "sun"), *index, weights=weights))
+    found = scores(search.search(queries(spark, "sun"), index, weights=weights))
     assert found == {(0, "1"): 51, (0, "2"): 3}
