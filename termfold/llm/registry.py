@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termfold.llm import conversations, exact, fingerprints, jaccard, langid, lines, mixing, pieces, secrets, topk, toxicity, warc
+from termfold.llm import conversations, exact, fingerprints, jaccard, langid, lines, mixing, negatives, pieces, secrets, topk, toxicity, warc
 from termfold.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,7 @@ _REGISTERED: list[Query] = [
     fingerprints.op8_fingerprints,
     langid.op9_language_id,
     lines.op10_line_dedup,
+    negatives.op11_hard_negatives,
     exact.op12_exact_dedup,
     conversations.op13_conversation_trie,
 ]
@@ -39,6 +40,7 @@ _REGISTERED: list[Query] = [
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": topk.OP1_SQL,
     "op2_warc": warc.OP2_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
     "op12_exact_dedup": exact.OP12_SQL,
     "op13_conversation_trie": conversations.OP13_SQL,
 }
