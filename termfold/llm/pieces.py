@@ -6,21 +6,25 @@ its left part and its merged piece falls below the rate, so a text gets one of m
 the vocabulary, always the same one for the same seed. Characters without a piece become byte pieces.
 
 A text is cut where no piece can cross (before a run of blanks, around line ends; checked against the vocabulary),
-and the parts are encoded on their own. Occurrences of a part take turns between ``variants`` keys, starting at a key
-that depends on the document's id, so that each worker can remember the parts it has met.
+and the parts are encoded on their own. The hash of a candidate takes the document's id and the part's number in the
+text as well, so every occurrence of a word draws for itself. A worker remembers what comes up on the agenda of a part
+when nothing is skipped; an occurrence none of whose candidates is skipped has those tokens, and only the others run
+agendas of their own.
 
 Defined results: a null text has null tokens, an empty one none. Decoding gives back every text byte for byte, also blanks
 at the ends, control characters, the meta symbol itself and characters outside the vocabulary. Ties between candidates
-are broken by place. Rows are encoded on their own: repeated rows are encoded alike, a null id counts as 0. Other
+are broken by place. Rows are encoded on their own: rows with equal id and text are encoded alike, a null id counts as 0. Other
 columns are kept, those named ``tokens``, ``n_tokens`` or ``lossless`` are replaced.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,27 +35,37 @@ from termfold.llm.arrays import list_column
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-VARIANTS = 4
 ROWS_TOGETHER = 500
 META = "▁"
-#: Encoded parts that a worker remembers.
-REMEMBERED = 1_000_000
+#: Parts that a worker remembers, of at most ``WIDEST`` characters.
+REMEMBERED = 500_000
+WIDEST = 64
 _MASK = (1 << 64) - 1
 _PLACE, _PIECE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
 _SYMBOLS = 1 << 22
 
 
-def keyed(seed: int, variant: int) -> int:
-    """Key of one variant."""
-    x = (seed * 0x9E3779B97F4A7C15 + (variant + 1) * 0xD1B54A32D192ED03) & _MASK
-    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
-    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _MASK
-    return x ^ (x >> 31)
+def _stirred(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _hashes(key: int, left: np.ndarray, piece: np.ndarray) -> np.ndarray:
+def document_key(seed: int, doc_id: object) -> int:
+    """Key of a document; ids that are no integers count by their CRC-32."""
+    number = doc_id if isinstance(doc_id, int) else zlib.crc32(str(doc_id).encode()) if doc_id is not None else 0
+    x = (seed * 0x9E3779B97F4A7C15 + (number + 1) * 0xD1B54A32D192ED03) & _MASK
+    return int(_stirred(np.array([x], np.uint64))[0])
+
+
+def occurrence_keys(documents: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Keys of the parts at ``places`` of documents with these keys."""
+    return _stirred(documents + (places.astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F))
+
+
+def _hashes(keys: np.ndarray, left: np.ndarray, piece: np.ndarray) -> np.ndarray:
     """Hash of each candidate, below 2**32: the place of its left part and the piece it would make."""
-    x = (np.uint64(key) ^ (left.astype(np.uint64) * np.uint64(_PLACE))) + piece.astype(np.uint64) * np.uint64(_PIECE)
+    x = (keys ^ (left.astype(np.uint64) * np.uint64(_PLACE))) + piece.astype(np.uint64) * np.uint64(_PIECE)
     return ((x ^ (x >> np.uint64(32))) * np.uint64(_MIX)) >> np.uint64(32)
 
 
@@ -119,24 +133,36 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
         return np.where((self.pairs[at] == keys) & (right >= 0), at, len(self.pairs))
 
-    def segmented_together(self, parts: list[str], key: int = 0, threshold: int = 0) -> list[bytes]:
-        """Tokens of many parts, as bytes of 32-bit numbers: the agendas of all advance by one candidate at a time."""
-        out: list[bytes] = [b""] * len(parts)
-        by_width: dict[int, list[int]] = {}
-        for i, part in enumerate(parts):
-            width = 1 << max(2, (len(part) - 1).bit_length())
-            if width > 64 or not len(self.pairs):
-                out[i] = array("i", self.ids(self.segmented(part, key, threshold))).tobytes()
-            else:
-                by_width.setdefault(width, []).append(i)
-        for width, places in by_width.items():
-            for low in range(0, len(places), 1 << 14):
-                some = places[low : low + (1 << 14)]
-                self._advance([parts[i] for i in some], width, key, threshold, some, out)
-        return out
+    def segmented_together(
+        self, parts: list[str], keys: np.ndarray, threshold: int = 0
+    ) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of many parts, as bytes of 32-bit numbers: the agendas of all advance by one candidate at a time.
 
-    def _advance(self, parts: list[str], width: int, key: int, threshold: int, places: list[int], out: list[bytes]) -> None:
-        lengths = np.array([len(part) for part in parts])
+        Also the candidates that were taken or skipped: part, place and piece of each, in order for each part of at most
+        ``WIDEST`` characters.
+        """
+        out: list[bytes] = [b""] * len(parts)
+        came = [(np.zeros(0, np.int64),) * 3]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        widths = np.maximum(4, 1 << np.frexp(np.maximum(lengths - 1, 0))[1])
+        if not len(self.pairs):
+            widths[:] = 2 * WIDEST
+        for i in np.flatnonzero(widths > WIDEST).tolist():
+            out[i] = array("i", self.ids(self.segmented(parts[i], int(keys[i]), threshold))).tobytes()
+        width = 4
+        while width <= WIDEST:
+            places = np.flatnonzero(widths == width)
+            for low in range(0, len(places), 1 << 13):
+                some = places[low : low + (1 << 13)]
+                self._advance([parts[i] for i in some.tolist()], lengths[some], width, keys[some], threshold, some, out, came)
+            width *= 2
+        part, place, piece = (np.concatenate(x) for x in zip(*came))
+        order = np.argsort(part, kind="stable")
+        return out, part[order], place[order], piece[order]
+
+    def _advance(
+        self, parts: list[str], lengths: np.ndarray, width: int, keys: np.ndarray, threshold: int, numbers: np.ndarray, out: list[bytes], came: list[tuple]
+    ) -> None:
         column = np.arange(width)
         symbols = np.full((len(parts), width), -1, np.int64)
         symbols[column < lengths[:, None]] = self.symbol_of[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
@@ -150,14 +176,15 @@ class Pieces:
             index = np.arange(len(rows))
             open_ = ranks[index, best] < np.inf
             if not open_.all():
-                self._finished(symbols[~open_], rows[~open_], places, out)
+                self._finished(symbols[~open_], numbers[rows[~open_]], out)
                 rows, symbols, begins, pair, ranks, best = (x[open_] for x in (rows, symbols, begins, pair, ranks, best))
                 index = np.arange(len(rows))
             if not len(rows):
                 return
             into = self.merged[pair[index, best]]
+            came.append((numbers[rows], begins[index, best], into))
             if threshold:
-                skipped = _hashes(key, begins[index, best], into) < threshold
+                skipped = _hashes(keys[rows], begins[index, best], into) < threshold
                 ranks[index[skipped], best[skipped]] = np.inf
                 taken = ~skipped
                 if not taken.any():
@@ -176,14 +203,14 @@ class Pieces:
                 pair[i, a] = self._pair(symbols[i, a], symbols[i, a + 1])
                 ranks[i, a] = self.pair_rank[pair[i, a]]
 
-    def _finished(self, symbols: np.ndarray, rows: np.ndarray, places: list[int], out: list[bytes]) -> None:
+    def _finished(self, symbols: np.ndarray, numbers: np.ndarray, out: list[bytes]) -> None:
         filled = symbols >= 0
         ends = np.cumsum(filled.sum(1)) * 4
         data = symbols[filled].astype(np.int32).tobytes()
         spelled = (symbols >= len(self.bytes_of)).any(1)
         start = 0
-        for i, row in enumerate(rows.tolist()):
-            out[places[row]] = data[start : ends[i]] if not spelled[i] else self._spelled(symbols[i][filled[i]])
+        for i, number in enumerate(numbers.tolist()):
+            out[number] = data[start : ends[i]] if not spelled[i] else self._spelled(symbols[i][filled[i]])
             start = ends[i]
 
     def _spelled(self, symbols: np.ndarray) -> bytes:
@@ -252,43 +279,84 @@ class Pieces:
         return self.spelled_out(np.array(tokens, np.int64))[0][1:].tobytes().decode("utf-8", "replace")
 
 
+class Memory:
+    """Parts with their tokens and candidates when nothing is skipped."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.tokens: list[bytes] = []
+        self.starts, self.places, self.into = array("q", [0]), array("q"), array("q")
+
+    def add(self, parts: list[str], tokens: list[bytes], part: np.ndarray, place: np.ndarray, piece: np.ndarray) -> None:
+        """``part, place, piece``: the candidates, ordered by part."""
+        self.number.update(zip(parts, range(len(self.tokens), len(self.tokens) + len(parts))))
+        self.tokens += tokens
+        ends = np.searchsorted(part, np.arange(len(parts)), "right") + self.starts[-1]
+        self.starts.frombytes(ends.astype(np.int64).tobytes())
+        self.places.frombytes(place.astype(np.int64).tobytes())
+        self.into.frombytes(piece.astype(np.int64).tobytes())
+
+    def numbers(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, parts, repeat(-1)), np.int64, len(parts))
+
+    def skipping(self, numbers: np.ndarray, keys: np.ndarray, threshold: int) -> np.ndarray:
+        """Which occurrences skip one of their part's candidates."""
+        starts, places, into = (np.frombuffer(x, np.int64) for x in (self.starts, self.places, self.into))
+        sizes = starts[numbers + 1] - starts[numbers]
+        of = np.repeat(np.arange(len(numbers)), sizes)
+        at = np.arange(len(of)) + np.repeat(starts[numbers] - np.cumsum(sizes) + sizes, sizes)
+        skipped = _hashes(keys[of], places[at], into[at]) < threshold
+        return np.bincount(of[skipped], minlength=len(numbers)) > 0
+
+
 class Encoder:
     """Encodes texts, remembering the parts it has met."""
 
-    def __init__(self, model: bytes, dropout: float, seed: int, variants: int):
+    def __init__(self, model: bytes, dropout: float, seed: int):
         self.pieces = Pieces(model)
+        self.seed = seed
         self.threshold = int(min(max(dropout, 0.0), 1.0) * (1 << 32))
-        self.variants = variants if self.threshold else 1
-        self.keys = [keyed(seed, v) for v in range(self.variants)]
-        self.known: list[dict[str, bytes]] = [{} for _ in self.keys]
-
-    def __call__(self, texts: list[str | None], starts: list[int]) -> list[np.ndarray]:
-        """Tokens of each text; ``starts``: the variant that its first part takes."""
-        waiting: list[dict[str, None]] = [{} for _ in self.keys]
-        split = [self._parts(text) if text else ([], []) for text in texts]
-        n = self.variants
-        encoded = []
-        open_ = []
-        for row, ((parts, _), start) in enumerate(zip(split, starts)):
-            tokens: list[bytes | None] = [None] * len(parts)
-            for turn in range(min(n, len(parts))):
-                variant = (start + turn) % n
-                own = parts[turn::n]
-                found = list(map(self.known[variant].get, own))
-                if None in found:
-                    waiting[variant].update((part, None) for part, value in zip(own, found) if value is None)
-                    open_.append((row, turn, variant))
-                tokens[turn::n] = found
-            encoded.append(tokens)
-        learned = [self._learned(list(parts), variant) for variant, parts in enumerate(waiting)]
-        for row, turn, variant in open_:
-            own, found, new = split[row][0][turn::n], encoded[row][turn::n], learned[variant]
-            encoded[row][turn::n] = [new[part] if value is None else value for part, value in zip(own, found)]
-        meta = array("i", [self.pieces.byte_ids[b] for b in META.encode()]).tobytes()
-        for (_, spelled), tokens in zip(split, encoded):
-            for at in spelled:
-                tokens[at] = meta
-        return [np.frombuffer(b"".join(tokens), np.int32) for tokens in encoded]
+        self.memory = Memory()
+        self.meta = array("i", [self.pieces.byte_ids[b] for b in META.encode()]).tobytes()
+
+    def __call__(self, texts: list[str | None], ids: list) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all texts one after the other, and their n + 1 bounds."""
+        parts, counts, spelled = [], [], []
+        for text in texts:
+            own, metas = self._parts(text) if text else ([], [])
+            spelled += [len(parts) + at for at in metas]
+            parts += own
+            counts.append(len(own))
+        counts = np.array(counts, np.int64)
+        documents = np.array([document_key(self.seed, i) for i in ids], np.uint64)
+        starts = np.cumsum(counts) - counts
+        places = np.arange(len(parts)) - np.repeat(starts, counts)
+        tokens = self._tokens(parts, occurrence_keys(np.repeat(documents, counts), places))
+        for at in spelled:
+            tokens[at] = self.meta
+        bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens))) // 4))
+        return np.frombuffer(b"".join(tokens), np.int32), bounds[np.append(starts, len(parts))]
+
+    def _tokens(self, parts: list[str], keys: np.ndarray) -> list[bytes]:
+        if len(self.memory.tokens) > REMEMBERED:
+            self.memory = Memory()
+        numbers = self.memory.numbers(parts)
+        unknown = np.flatnonzero(numbers < 0)
+        unmet = [parts[i] for i in unknown.tolist()]
+        new = [part for part in dict.fromkeys(unmet) if len(part) <= WIDEST]
+        if new:
+            self.memory.add(new, *self.pieces.segmented_together(new, np.zeros(len(new), np.uint64)))
+            numbers[unknown] = self.memory.numbers(unmet)
+        own = numbers < 0
+        if self.threshold:
+            known = np.flatnonzero(~own)
+            own[known] = self.memory.skipping(numbers[known], keys[known], self.threshold)
+        tokens = list(map(self.memory.tokens.__getitem__, np.where(own, 0, numbers).tolist())) if self.memory.tokens else [b""] * len(parts)
+        again = np.flatnonzero(own)
+        some = again.tolist()
+        for i, value in zip(some, self.pieces.segmented_together([parts[i] for i in some], keys[again], self.threshold)[0]):
+            tokens[i] = value
+        return tokens
 
     def _parts(self, text: str) -> tuple[list[str], list[int]]:
         """Parts of a text, and the places where the meta symbol itself stands: it is spelled in bytes."""
@@ -301,14 +369,6 @@ class Encoder:
             parts += ["", *self.pieces.parts(run.replace(" ", META))]
         return parts, spelled
 
-    def _learned(self, parts: list[str], variant: int) -> dict[str, bytes]:
-        new = dict(zip(parts, self.pieces.segmented_together(parts, self.keys[variant], self.threshold)))
-        if sum(map(len, self.known)) + len(new) > REMEMBERED:
-            for known in self.known:
-                known.clear()
-        self.known[variant].update((part, value) for part, value in new.items() if len(part) <= 64)
-        return new
-
 
 def read_model(path: str = TOKENIZER) -> bytes:
     with open(path, "rb") as file:
@@ -323,7 +383,6 @@ def encode(
     model: bytes,
     dropout: float = DROPOUT,
     seed: int = 0,
-    variants: int = VARIANTS,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
@@ -336,25 +395,22 @@ def encode(
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = (hash(sent.value), dropout, seed, variants)
+        name = (hash(sent.value), dropout, seed)
         encoder = _encoders.get(name)
         if encoder is None:
             _encoders.clear()
-            encoder = _encoders[name] = Encoder(sent.value, dropout, seed, variants)
+            encoder = _encoders[name] = Encoder(sent.value, dropout, seed)
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS_TOGETHER):
                 part = batch.slice(low, ROWS_TOGETHER)
                 texts = part.column(at).to_pylist()
-                starts = [keyed(seed, i if isinstance(i, int) else 0) % variants for i in part.column(id_at).to_pylist()]
-                tokens = encoder(texts, starts)
-                ends = np.cumsum([0, *map(len, tokens)])
-                joined = np.concatenate(tokens)
+                joined, ends = encoder(texts, part.column(id_at).to_pylist())
                 spelled, bounds = encoder.pieces.spelled_out(joined)
                 # Without the blank that the encoder puts before every text.
                 back = [spelled[bounds[a] + 1 : bounds[b]].tobytes() for a, b in zip(ends[:-1], ends[1:])]
                 lossless = [None if t is None else t.encode() == b for t, b in zip(texts, back)]
                 lists = _nulled(list_column(joined, ends), texts)
-                columns = [lists, pa.array([None if t is None else len(x) for t, x in zip(texts, tokens)], pa.int64()), pa.array(lossless, pa.bool_())]
+                columns = [lists, pa.array([None if t is None else int(x) for t, x in zip(texts, np.diff(ends))], pa.int64()), pa.array(lossless, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
 
     return kept.mapInArrow(task, schema)

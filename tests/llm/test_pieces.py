@@ -1,6 +1,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 
 from termfold.llm import pieces
@@ -21,42 +22,87 @@ def some_texts():
     return ODD + ["".join(draw.choice(letters) for _ in range(draw.randrange(1, 300))) for _ in range(60)]
 
 
+def encoded(encoder, texts, ids=None):
+    tokens, ends = encoder(texts, list(range(len(texts))) if ids is None else ids)
+    return [tokens[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+
 def test_without_dropout_equals_the_library(model):
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_proto=model)
-    encoder = pieces.Encoder(model, 0.0, 0, 4)
     # The library turns the meta symbol itself into a blank, which is not lossless.
     texts = [t for t in some_texts() if "▁" not in t]
-    for text, tokens in zip(texts, encoder(texts, [0] * len(texts))):
-        assert tokens.tolist() == library.encode(text)
+    assert encoded(pieces.Encoder(model, 0.0, 0), texts) == [library.encode(t) for t in texts]
 
 
 @pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
 def test_lossless(model, dropout):
-    encoder = pieces.Encoder(model, dropout, 7, 4)
+    encoder = pieces.Encoder(model, dropout, 7)
+    texts = some_texts()
+    for text, tokens in zip(texts, encoded(encoder, texts)):
+        assert encoder.pieces.decoded(tokens) == text if text else not tokens
+
+
+def by_the_rule(own, part, key, threshold):
+    """The best-scored candidate that has not been skipped, the leftmost of equals, until there is none."""
+    symbols, skipped = [(i, c) for i, c in enumerate(part)], set()
+    while True:
+        candidates = []
+        for (left, a), (right, b) in zip(symbols, symbols[1:]):
+            if a + b in own.rank and (left, right, a + b) not in skipped:
+                candidates.append((own.rank[a + b], left, right, a + b))
+        if not candidates:
+            return [s for _, s in symbols]
+        _, left, right, piece = min(candidates)
+        x = ((key ^ (left * 0x9E3779B97F4A7C15)) + own.id[piece] * 0xD6E8FEB86659FD93) % 2**64
+        x = ((x ^ (x >> 32)) * 0xBF58476D1CE4E5B9) % 2**64
+        if x >> 32 < threshold:
+            skipped.add((left, right, piece))
+        else:
+            symbols = [(i, piece if i == left else s) for i, s in symbols if i != right]
+
+
+def test_every_occurrence_draws_for_itself(model):
+    """The memory and the agendas side by side give what the rule gives for each occurrence."""
+    encoder = pieces.Encoder(model, 0.3, 5)
+    own = encoder.pieces
+    texts = [t for t in some_texts() if len(t) < 1000 and "▁" not in t] * 3
+    ids = [i // 2 for i in range(len(texts))]
+    for _ in range(2):  # at first nothing is remembered
+        for text, doc, tokens in zip(texts, ids, encoded(encoder, texts, ids)):
+            key = np.array([pieces.document_key(5, doc)], np.uint64)
+            want = []
+            for place, part in enumerate(own.parts("▁" + text.replace(" ", "▁")) if text else []):
+                of_part = int(pieces.occurrence_keys(key, np.array([place]))[0])
+                want += own.ids(by_the_rule(own, part, of_part, encoder.threshold))
+                assert by_the_rule(own, part, of_part, encoder.threshold) == own.segmented(part, of_part, encoder.threshold)
+            assert tokens == want
+
+
+def test_memory_is_bounded_and_changes_nothing(model, monkeypatch):
     texts = some_texts()
-    for text, tokens in zip(texts, encoder(texts, [i % 4 for i in range(len(texts))])):
-        assert encoder.pieces.decoded(tokens.tolist()) == text if text else not len(tokens)
-
-
-def test_agendas_side_by_side_equal_single_ones(model):
-    own = pieces.Pieces(model)
-    parts = [p for t in some_texts() for p in own.parts("▁" + t.replace(" ", "▁"))]
-    for key, threshold in ((pieces.keyed(1, 0), 0), (pieces.keyed(1, 1), 1 << 29), (pieces.keyed(2, 0), 1 << 31)):
-        single = [pieces.array("i", own.ids(own.segmented(p, key, threshold))).tobytes() for p in parts]
-        assert own.segmented_together(parts, key, threshold) == single
-
-
-def test_dropout_varies_and_repeats(model):
-    text = "international understanding of tokenisation " * 3
-    encode = lambda seed, start: pieces.Encoder(model, 0.3, seed, 4)([text], [start])[0].tolist()
-    assert encode(1, 0) == encode(1, 0)
-    assert len({tuple(encode(seed, start)) for seed in range(4) for start in range(4)}) > 8
-    # Every word of one text need not be cut alike.
-    words = pieces.Encoder(model, 0.5, 1, 4)
-    cuts = {tuple(words.pieces.segmented("▁international", key, words.threshold)) for key in words.keys}
-    assert len(cuts) > 1
+    expected = encoded(pieces.Encoder(model, 0.2, 1), texts)
+    monkeypatch.setattr(pieces, "REMEMBERED", 50)
+    encoder = pieces.Encoder(model, 0.2, 1)
+    assert [encoded(encoder, [t], [i])[0] for i, t in enumerate(texts)] == expected
+
+
+def test_rate_and_variety(model):
+    encoder = pieces.Encoder(model, 0.1, 3)
+    tokens = encoded(encoder, [" ".join(["international"] * 4000)])[0]
+    cuts, word = {}, []
+    for t in tokens + [None]:
+        if t is None or encoder.pieces.bytes_of[t].startswith(b" "):
+            cuts[tuple(word)] = cuts.get(tuple(word), 0) + 1
+            word = []
+        word.append(t)
+    assert len(cuts) > 20
+    draw = random.Random(8)
+    rule = [len(by_the_rule(encoder.pieces, "▁international", draw.getrandbits(64), encoder.threshold)) == 1 for _ in range(1500)]
+    assert abs(max(cuts.values()) / 4000 - sum(rule) / 1500) < 0.05
+    assert encoded(encoder, ["a b"], [1]) == encoded(pieces.Encoder(model, 0.1, 3), ["a b"], [1])
+    assert encoded(encoder, [" ".join(["understanding"] * 50)], [1]) != encoded(encoder, [" ".join(["understanding"] * 50)], [2])
 
 
 def test_table_with_odd_rows(spark, model):
