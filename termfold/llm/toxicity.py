@@ -1,21 +1,24 @@
 """Toxicity by the nearest labelled examples.
 
-Terms are words and word beginnings of five to seven bytes, folded to lower case, each at up to four levels of
-frequency in the text (once, and from 0.4, 0.8 and 1.6 per cent of the words). Those that go with the label are
-chosen by chi-squared on the examples and weighted by their inverse document frequency in all documents. Similarity is
-the exact cosine. Examples with equal vectors are one entry with the votes of both labels. The entries are held in an
-inverted index in blocks, with the largest weight of every term in every block: blocks are opened in the order of
-their bounds until a bound falls below the k-th similarity. Votes are weighted by 1 / (distance + ``SOFT``), and the
-share of toxic votes is calibrated by a logistic curve fitted on leave-one-out votes of the examples.
+Terms are all words of the examples, folded to lower case, with their frequencies in a text. A term's weight is
+(1 + log of its count) times its inverse document frequency in all documents, times the square of its relevance
+frequency: log2(2 + its rate among toxic examples, less one example, over its rate among clean ones). (Without the last
+factor neighbours share a subject, not a tone; see the README for figures of both.) Similarity is the exact cosine over
+the examples' terms. Examples with equal vectors are one entry with the votes of both labels.
+
+Entries are held in an inverted index in blocks, with the largest weight of every term in every block. For a text, the
+bound of a block is the sum over the text's terms of weight times the block's largest weight. The blocks with the best
+bounds are scored first, then all whose bound reaches the k-th similarity found; ties count. Votes are weighted by
+1 / (distance + ``SOFT``), and the share of toxic votes is calibrated by a logistic curve fitted on leave-one-out votes
+of the examples.
 
 Bound of the fit: at most ``EXAMPLES`` labelled rows of each label, those of lowest hash of their id; document
-frequencies come from all documents. Everything the driver holds is bounded by the examples and ``TERMS``.
+frequencies come from all documents. What the driver holds is bounded by the examples and their terms.
 
-Defined results: null and empty texts, and texts without any chosen term, share the score of the examples without
-one. A label that is null teaches nothing; of several labels of one id the largest counts, of several texts of one id
-all are examples. Without both labels the score is the share of the one there is, without labels it is 0. Equal
-similarities are taken by entry, entries by smallest id. :func:`score` keeps other columns and replaces those of its own
-names.
+Defined results: null and empty texts, and texts without any term of an example, share the score of the examples without
+one, drawn towards the share of all. A label that is null teaches nothing; of several labels of one id the largest counts, of
+several texts of one id all are examples. Without both labels the score is the share of the one there is, without labels
+it is 0. Equal similarities are taken by entry. :func:`score` keeps other columns and replaces those of its own names.
 """
 
 from __future__ import annotations
@@ -28,125 +31,175 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termfold.llm.arrays import BYTE_VALUES, Spans, counted, lower_ascii, mixed, rows_of, slices, with_text_columns, word_bounds
+from termfold.llm.arrays import BYTE_VALUES, Spans, counted, list_column, lower_ascii, mixed, rows_of, slices, with_text_columns, word_bounds
 from termfold.llm.langid import held_out
 from termfold.session import stored
 
 EXAMPLES = 2048
-TERMS = 256
 NEIGHBOURS = 15
 BLOCK = 64
 SOFT = 0.05
-BEGINNINGS = (5, 6, 7)
-#: Least count and least share of the words for each level.
-LEVELS = ((1, 0.0), (2, 0.004), (3, 0.008), (4, 0.016))
-#: Least share of the examples of a label that have a chosen term.
-LEAST_SHARE = 0.005
 THRESHOLD = 0.7
-_CACHED = 100_000
+#: Examples without a term are too few at times: so many of the common share are added to them.
+PRIOR_EXAMPLES = 20
+#: Blocks of a text that are scored before bounds are compared.
+FIRST_BLOCKS = 4
+#: Texts scored at once, and postings read at once for them.
+TOGETHER = 128
+#: Counts that a row of document frequencies carries.
+CHUNK = 1 << 14
+_TOP = 44
+_FINE = 1e12
 
 _VALUES = lower_ascii(BYTE_VALUES)
 _NO_LETTER = np.ones(256, bool)
 _NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
+_NONE = np.zeros(0, np.int64)
 
 
-def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and row of every term, and the number of words of each row."""
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every word."""
     data = data.copy()
     # Capital letters of Latin-1, in UTF-8.
     data[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)] += 0x20
     starts, ends = word_bounds(data, offsets, _NO_LETTER)
-    rows = rows_of(starts, offsets)
-    spans = Spans(_VALUES[data])
-    hashes, of = [mixed(spans(starts, ends))], [rows]
-    for length in BEGINNINGS:
-        long = ends - starts >= length
-        hashes.append(mixed(spans(starts[long], starts[long] + length) + np.uint64(length)))
-        of.append(rows[long])
-    return np.concatenate(hashes), np.concatenate(of), np.bincount(rows, minlength=len(offsets) - 1)
+    return mixed(Spans(_VALUES[data])(starts, ends)), rows_of(starts, offsets)
+
+
+def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges, and the range of each."""
+    sizes = ends - starts
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + starts[of], of
+
+
+class Terms:
+    """The examples' terms, sorted by hash."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.first = np.searchsorted(hashes >> np.uint64(_TOP), np.arange((1 << (64 - _TOP)) + 1, dtype=np.uint64))
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each term, -1 for others."""
+        top = (hashes >> np.uint64(_TOP)).astype(np.int64)
+        at, last = self.first[top], self.first[top + 1]
+        out = np.full(len(hashes), -1, np.int64)
+        open_ = np.flatnonzero(at < last)
+        while len(open_):
+            hit = self.hashes[at[open_]] == hashes[open_]
+            out[open_[hit]] = at[open_[hit]]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < last[open_]]
+        return out
+
+    def counts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``row, term, count`` of each text, by row and term."""
+        if not len(self):
+            return _NONE, _NONE, _NONE
+        hashes, rows = _words(data, offsets)
+        at = self.places(hashes)
+        known = at >= 0
+        keys, counts = counted(rows[known] * len(self) + at[known])
+        return keys // len(self), keys % len(self), counts
 
 
 @dataclass
 class Model:
-    """Chosen terms, weights and the index of examples; a few MB at most."""
+    """Terms, weights and the index of examples: as large as the examples' texts at most."""
 
-    terms: np.ndarray
+    terms: Terms
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     prior: float = 0.0
     curve: tuple[float, float] = (1.0, 0.0)
     clean: np.ndarray = field(default_factory=lambda: np.zeros(0))
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    ids: list[int] = field(default_factory=list)
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    block_starts: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
-    block_most: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-
-    def features(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-        """Sorted features (term and level) of each row."""
-        n = len(offsets) - 1
-        none = np.zeros(0, np.int64)
-        if not len(self.terms):
-            return [none] * n
-        hashes, rows, words = _terms(data, offsets)
-        likely = np.zeros(1 << 16, bool)
-        likely[self.terms >> np.uint64(48)] = True
-        maybe = likely[hashes >> np.uint64(48)]
-        hashes, rows = hashes[maybe], rows[maybe]
-        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        chosen = self.terms[at] == hashes
-        keys, counts = counted(rows[chosen] * len(self.terms) + at[chosen])
-        row, term = keys // len(self.terms), keys % len(self.terms)
-        shares = counts / np.maximum(words[row], 1)
-        found = [
-            (row[here], term[here] * len(LEVELS) + level)
-            for level, (least, share) in enumerate(LEVELS)
-            for here in [(counts >= least) & (shares >= share)]
-        ]
-        row, features = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((features, row))
-        cuts = np.searchsorted(row[order], np.arange(1, n))
-        return np.split(features[order], cuts) if n else []
-
-    def vector(self, features: np.ndarray) -> np.ndarray:
-        weights = self.weights[features]
-        norm = np.sqrt((weights**2).sum())
-        return weights / norm if norm else weights
-
-    def nearest(self, features: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Entries with the ``k`` largest cosines above 0 and those cosines, best first."""
-        query = self.vector(features)
-        bounds = query @ self.block_most[features] if len(features) else np.zeros(0)
-        entries, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(cosines) >= k and bounds[block] < cosines[k - 1] - 1e-12):
-                break
-            low = block * BLOCK
-            scores = np.zeros(min(BLOCK, len(self.ids) - low))
-            for feature, weight in zip(features, query):
-                start, end = self.block_starts[feature, block : block + 2]
-                at, weights = self.postings[feature]
-                scores[at[start:end] - low] += weight * weights[start:end]
-            scores = np.round(scores, 12)
-            here = np.flatnonzero(scores > 0)
-            entries, cosines = np.append(entries, here + low), np.append(cosines, scores[here])
-            order = np.lexsort((entries, -cosines))[:k]
-            entries, cosines = entries[order], cosines[order]
+    ids: np.ndarray = field(default_factory=lambda: _NONE)
+    #: By term: its blocks (``block``, the largest weight ``most``); by these: its postings.
+    term_start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    block: np.ndarray = field(default_factory=lambda: _NONE)
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    block_start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    entry: np.ndarray = field(default_factory=lambda: _NONE)
+    value: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def vectors(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
+        """Weights of length 1 for each row."""
+        weights = (1 + np.log(count)) * self.weights[term]
+        norms = np.sqrt(np.bincount(row, weights**2, rows))
+        return weights / np.where(norms > 0, norms, 1)[row]
+
+    def nearest(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of the ``k`` largest cosines of each row and those cosines, best first; cosine 0 where there are fewer."""
+        entries, cosines = np.zeros((rows, k), np.int64), np.zeros((rows, k))
+        if not len(self.ids):
+            return entries, cosines
+        weights = self.vectors(row, term, count, rows)
+        bounds_of = np.searchsorted(row, np.arange(0, rows + TOGETHER, TOGETHER))
+        for i, low in enumerate(range(0, rows, TOGETHER)):
+            part = slice(bounds_of[i], bounds_of[i + 1])
+            n = min(TOGETHER, rows - low)
+            some, values = self._nearest(row[part] - low, term[part], weights[part], n, k)
+            entries[low : low + n, : some.shape[1]], cosines[low : low + n, : some.shape[1]] = some, values
         return entries, cosines
 
-    def share(self, features: np.ndarray, without: tuple[int, float, float] | None = None) -> float:
-        """Share of toxic votes; ``without``: an entry and the votes it gives up."""
-        entries, cosines = self.nearest(features)
-        clean, toxic = self.clean[entries], self.toxic[entries]
+    def _nearest(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        size, blocks = len(self.ids), -(-len(self.ids) // BLOCK)
+        at, of = _runs(self.term_start[term], self.term_start[term + 1])
+        row, weight = row[of], weight[of]
+        cell = row * blocks + self.block[at]
+        bounds = np.bincount(cell, weight * self.most[at], rows * blocks)
+        scores = np.zeros(rows * size)
+
+        def opened(which: np.ndarray) -> None:
+            some = which[cell]
+            posting, run = _runs(self.block_start[at[some]], self.block_start[at[some] + 1])
+            scores[:] += np.bincount(row[some][run] * size + self.entry[posting], weight[some][run] * self.value[posting], rows * size)
+
+        def ordered() -> np.ndarray:
+            """Cosines as whole numbers with the entry behind, so that no two are equal."""
+            fine = np.round(scores * _FINE).astype(np.int64).reshape(rows, size)
+            return fine * size + (size - 1 - np.arange(size))
+
+        k = min(k, size)
+        by_bound = bounds.reshape(rows, blocks)
+        first = np.zeros((rows, blocks), bool)
+        if blocks > FIRST_BLOCKS:
+            best = np.argpartition(-by_bound, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS]
+            np.put_along_axis(first, best, True, 1)
+        else:
+            first[:] = True
+        first = first.ravel() & (bounds > 0)
+        opened(first)
+        least = np.partition(ordered(), size - k, axis=1)[:, size - k] // size / _FINE
+        more = ~first & (bounds > 0) & (bounds >= np.repeat(least, blocks) - 1e-9)
+        if more.any():
+            opened(more)
+        keys = ordered()
+        top = np.argpartition(keys, size - k, axis=1)[:, size - k :]
+        found = np.take_along_axis(keys, top, 1)
+        order = np.argsort(-found, axis=1)
+        found = np.take_along_axis(found, order, 1)
+        return size - 1 - found % size, found // size / _FINE
+
+    def shares(self, entries: np.ndarray, cosines: np.ndarray, without: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Share of toxic votes of each row; ``without``: an entry of each row and the votes it gives up."""
+        clean, toxic = (x[entries] if len(x) else np.zeros(entries.shape) for x in (self.clean, self.toxic))
         if without:
-            own = entries == without[0]
-            clean, toxic = clean - own * without[1], toxic - own * without[2]
-        weight = 1 / (1 - cosines + SOFT)
-        votes = (weight * (clean + toxic)).sum()
-        return float((weight * toxic).sum() / votes) if votes > 0 else self.prior
-
-    def calibrated(self, share: float) -> float:
+            own = entries == without[0][:, None]
+            clean, toxic = clean - own * without[1][:, None], toxic - own * without[2][:, None]
+        weight = np.where(cosines > 0, 1 / (1 - np.minimum(cosines, 1) + SOFT), 0)
+        votes = (weight * (clean + toxic)).sum(1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.where(votes > 1e-12, (weight * toxic).sum(1) / votes, self.prior)
+
+    def calibrated(self, shares: np.ndarray) -> np.ndarray:
         slope, shift = self.curve
-        return float(1 / (1 + np.exp(-(slope * _log_odds(share) + shift))))
+        return 1 / (1 + np.exp(-(slope * _log_odds(shares) + shift)))
 
 
 def _log_odds(share):
@@ -163,58 +216,52 @@ def _examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(sample), docs["doc_id"] == F.col("_id")).select("_id", "_toxic", docs["text"].alias("text"))
 
 
-def _chosen_terms(examples: DataFrame, n: dict[bool, int]) -> np.ndarray:
+def _term_counts(examples: DataFrame) -> pa.Table:
+    """``id, toxic, terms, counts`` of each example."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = {False: [], True: []}
         for batch in batches:
-            labels = np.array(batch.column(0).to_pylist(), bool)
-            for start, end, data, offsets in slices(batch.column(1)):
-                hashes, rows, _ = _terms(data, offsets)
-                order = np.lexsort((hashes, rows))
-                hashes, rows = hashes[order], rows[order]
-                new = np.ones(len(hashes), bool)
-                new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-                of = labels[start:end][rows]
-                for label in found:
-                    found[label].append(hashes[new & (of == label)])
-        for label, parts in found.items():
-            terms, counts = counted(np.concatenate(parts)) if parts else counted(np.zeros(0, np.uint64))
-            yield pa.record_batch(
-                [pa.array(terms.view(np.int64)), pa.array(counts * (not label)), pa.array(counts * label)],
-                ["term", "clean", "toxic"],
-            )
-
-    counts = examples.select("_toxic", "text").mapInArrow(task, "term long, clean long, toxic long")
-    sums = counts.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    clean, toxic = F.col("clean") / n[False], F.col("toxic") / n[True]
-    both = clean + toxic
-    spread = both * (2 - both)
-    gain = F.when(spread > 0, (toxic - clean) * (toxic - clean) / spread)
-    best = (
-        sums.where((toxic > clean) & (toxic >= LEAST_SHARE))
-        .orderBy(F.desc(gain), "term")
-        .select("term")
-        .limit(TERMS)
-        .collect()
-    )
-    return np.sort(np.array([row.term for row in best], np.int64).view(np.uint64))
+            for start, end, data, offsets in slices(batch.column(2)):
+                hashes, rows = _words(data, offsets)
+                distinct, which = np.unique(hashes, return_inverse=True)
+                keys, counts = counted(rows * max(1, len(distinct)) + which)
+                ends = np.searchsorted(keys, np.arange(end - start + 1) * max(1, len(distinct)))
+                terms = distinct[keys % max(1, len(distinct))].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[start:end], batch.column(1)[start:end], list_column(terms, ends), list_column(counts, ends)],
+                    names=["id", "toxic", "terms", "counts"],
+                )
+
+    return examples.mapInArrow(task, "id long, toxic boolean, terms array<long>, counts array<long>").toArrow()
+
 
+def _document_frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
+    """In how many documents each term is, and the number of documents."""
+    sent = docs.sparkSession.sparkContext.broadcast(terms)
 
-def _document_frequencies(docs: DataFrame, model: Model) -> tuple[np.ndarray, int]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(model.terms) * len(LEVELS) + 1, np.int64)
+        known = sent.value
+        counts, documents = np.zeros(len(known), np.int64), 0
         for batch in batches:
-            counts[-1] += batch.num_rows
+            documents += batch.num_rows
             for _, _, data, offsets in slices(batch.column(0)):
-                for features in model.features(data, offsets):
-                    counts[features] += 1
-        yield pa.record_batch([pa.array(np.arange(len(counts))), pa.array(counts)], ["feature", "n"])
+                counts += np.bincount(known.counts(data, offsets)[1], minlength=len(known))
+        parts = [counts[i : i + CHUNK].tobytes() for i in range(0, len(counts), CHUNK)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1, *range(len(parts))], pa.int64()), pa.array([np.int64(documents).tobytes(), *parts], pa.binary())], names=["chunk", "counts"]
+        )
 
-    sums = docs.select("text").mapInArrow(task, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(model.terms) * len(LEVELS) + 1, np.int64)
-    for row in sums.collect():
-        counts[row.feature] = row.n
-    return counts[:-1], int(counts[-1])
+    def summed(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist())
+        return pa.table({"chunk": table.column("chunk")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema = "chunk long, counts binary"
+    # A row for each task and chunk; the chunks together are as long as the terms.
+    parts = docs.select("text").mapInArrow(task, schema).groupBy("chunk").applyInArrow(summed, schema).collect()
+    by_chunk = {row.chunk: np.frombuffer(row.counts, np.int64) for row in parts}
+    documents = int(by_chunk.pop(-1, [0])[0])
+    sent.unpersist()
+    return np.concatenate([_NONE, *(by_chunk[i] for i in sorted(by_chunk))]), documents
 
 
 def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None) -> Model:
@@ -222,69 +269,79 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None) ->
     what document frequencies are counted in."""
     corpus = docs if corpus is None else corpus
     examples = stored(_examples(docs, labels), "toxicity_examples")
-    n = {False: 0, True: 0} | {row._toxic: row["count"] for row in examples.groupBy("_toxic").count().collect()}
+    table = _term_counts(examples)
+    toxic = np.array(table.column("toxic").to_pylist(), bool)
+    n = {False: int((~toxic).sum()), True: int(toxic.sum())}
     if not n[False] or not n[True]:
-        return Model(np.zeros(0, np.uint64), prior=float(n[True] > 0), curve=(0.0, 20.0 if n[True] else -700.0))
-    model = Model(_chosen_terms(examples, n))
-    df, rows = _document_frequencies(corpus, model)
-    model.weights = np.log((1 + rows) / (1 + df))
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [f for _, _, data, offsets in slices(batch.column(2)) for f in model.features(data, offsets)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["id", "toxic", "features"]
-            )
-
-    # At most a few thousand short rows.
-    kept = examples.mapInArrow(task, "id long, toxic boolean, features array<long>").collect()
+        return Model(Terms(np.zeros(0, np.uint64)), prior=float(n[True] > 0), curve=(0.0, 20.0 if n[True] else -700.0))
+    order = np.argsort(table.column("id").to_numpy(), kind="stable")
+    kept = [(table.column("id")[i].as_py(), bool(toxic[i]), *(np.array(table.column(k)[i].as_py(), np.int64) for k in ("terms", "counts"))) for i in order.tolist()]
+    model = Model(Terms(np.unique(np.concatenate([_NONE, *(x[2] for x in kept)]).view(np.uint64))))
+    df, documents = _document_frequencies(corpus, model.terms)
+    kept = [(i, label, model.terms.places(hashes.view(np.uint64)), counts) for i, label, hashes, counts in kept]
+    in_label = {label: np.bincount(np.concatenate([_NONE, *(x[2] for x in kept if x[1] == label)]), minlength=len(df)) for label in n}
+    rate = (np.maximum(in_label[True] - 1, 0) / n[True]) / (np.maximum(in_label[False], 1) / n[False])
+    model.weights = np.log((1 + documents) / (1 + df)) * np.log2(2 + rate) ** 2
     # Each label's votes weigh as much as its share of all labels, also where the sample takes more of one.
     true = labels.where("toxic is not null").agg(F.avg((F.col("toxic") > 0).cast("double")).alias("share")).first().share
     weight = {False: (1 - true) / n[False], True: true / n[True]}
-    entries: dict[tuple, list] = {}
-    for row in sorted(kept, key=lambda r: r.id):
-        entry = entries.setdefault(tuple(row.features), [row.id, 0.0, 0.0])
-        entry[1 + row.toxic] += weight[row.toxic]
-    empty = entries.pop((), None)
+    model.prior = float(true)
+    entries: dict[bytes, list] = {}
+    for i, label, terms, counts in kept:
+        entry = entries.setdefault(_key(terms, counts), [i, 0.0, 0.0, terms, counts])
+        entry[1 + label] += weight[label]
+    empty = entries.pop(_key(_NONE, _NONE), None)
     if empty:
-        model.prior = empty[2] / (empty[1] + empty[2])
-    _index(model, entries)
-    _calibrate(model, kept, entries, weight)
+        pull = PRIOR_EXAMPLES / (n[False] + n[True])
+        model.prior = (empty[2] + pull * float(true)) / (empty[1] + empty[2] + pull)
+    place = _index(model, entries)
+    _calibrate(model, kept, place, weight)
     return model
 
 
-def _index(model: Model, entries: dict[tuple, list]) -> None:
-    # Entries that share terms lie together, so that blocks have tight bounds.
-    order = sorted(entries)
-    model.ids = [entries[key][0] for key in order]
-    model.clean, model.toxic = (np.array([entries[key][i] for key in order]) for i in (1, 2))
-    lists: list[list[tuple[int, float]]] = [[] for _ in model.weights]
-    for at, key in enumerate(order):
-        for feature, value in zip(key, model.vector(np.array(key, np.int64))):
-            lists[feature].append((at, value))
-    model.postings = [(np.array([a for a, _ in x], np.int64), np.array([v for _, v in x])) for x in lists]
-    blocks = -(-len(order) // BLOCK)
-    bounds = np.arange(blocks + 1) * BLOCK
-    model.block_starts = np.array([np.searchsorted(at, bounds) for at, _ in model.postings]).reshape(-1, blocks + 1)
-    model.block_most = np.zeros((len(lists), blocks))
-    for feature, (at, values) in enumerate(model.postings):
-        np.maximum.at(model.block_most[feature], at // BLOCK, values)
-
-
-def _calibrate(model: Model, kept: list, entries: dict[tuple, list], weight: dict[bool, float]) -> None:
+def _key(terms: np.ndarray, counts: np.ndarray) -> bytes:
+    order = np.argsort(terms, kind="stable")
+    return terms[order].tobytes() + counts[order].tobytes()
+
+
+def _index(model: Model, entries: dict[bytes, list]) -> dict[bytes, int]:
+    """Fill the model's index; the place of each entry."""
+    def heaviest(item: tuple) -> tuple:
+        _, _, _, terms, counts = item[1]
+        weights = (1 + np.log(counts)) * model.weights[terms]
+        return terms[np.lexsort((terms, -weights))[:3]].tolist(), item[0]
+
+    # Entries whose heaviest terms agree lie together, so that blocks have tight bounds.
+    ranked = sorted(entries.items(), key=heaviest)
+    model.ids = np.array([x[0] for _, x in ranked], np.int64)
+    model.clean, model.toxic = (np.array([x[i] for _, x in ranked], float) for i in (1, 2))
+    sizes = [len(x[3]) for _, x in ranked]
+    entry = np.repeat(np.arange(len(ranked)), sizes)
+    term, count = (np.concatenate([_NONE, *(x[i] for _, x in ranked)]) for i in (3, 4))
+    value = model.vectors(entry, term, count, len(ranked))
+    order = np.lexsort((entry, term))
+    entry, term, value = entry[order], term[order], value[order]
+    block = entry // BLOCK
+    new = np.ones(len(entry), bool)
+    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    starts = np.flatnonzero(new)
+    model.entry, model.value = entry, value
+    model.block, model.block_start = block[starts], np.append(starts, len(entry))
+    model.most = np.maximum.reduceat(value, starts) if len(starts) else np.zeros(0)
+    model.term_start = np.searchsorted(term[starts], np.arange(len(model.terms) + 1))
+    return {key: i for i, (key, _) in enumerate(ranked)}
+
+
+def _calibrate(model: Model, kept: list, place: dict[bytes, int], weight: dict[bool, float]) -> None:
     """A logistic curve of the votes that examples get from all others, by Newton's method."""
-    place = {key: i for i, key in enumerate(sorted(entries))}
-    shares: dict[tuple, float] = {}
-    x, y, w = [], [], []
-    for row in kept:
-        key = (tuple(row.features), row.toxic)
-        if key not in shares:
-            lost = (0.0, weight[True]) if row.toxic else (weight[False], 0.0)
-            shares[key] = model.share(np.array(row.features, np.int64), (place[key[0]], *lost)) if key[0] else model.prior
-        x.append(_log_odds(shares[key]))
-        y.append(row.toxic)
-        w.append(weight[row.toxic])
-    x, y, w = np.array(x), np.array(y, float), np.array(w)
+    y = np.array([label for _, label, _, _ in kept], float)
+    w = np.where(y > 0, weight[True], weight[False])
+    own = np.array([place.get(_key(terms, counts), -1) for _, _, terms, counts in kept])
+    row = np.repeat(np.arange(len(kept)), [len(terms) for _, _, terms, _ in kept])
+    term, count = (np.concatenate([_NONE, *(x[i] for x in kept)]) for i in (2, 3))
+    entries, cosines = model.nearest(row, term, count, len(kept))
+    shares = model.shares(entries, cosines, (own, w * (y == 0), w * (y > 0)))
+    x = _log_odds(shares)
     design = np.stack((x, np.ones_like(x)), 1)
     curve, pull = np.array([1.0, 0.0]), np.array([1.0, 0.0])
     ridge = np.eye(2) * 1e-3
@@ -301,22 +358,21 @@ def _calibrate(model: Model, kept: list, entries: dict[tuple, list], weight: dic
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``evidence``, the ids of the nearest examples, of each whole ``text``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def added(texts: pa.Array) -> list[pa.Array]:
-        known: dict[bytes, tuple[float, list[int]]] = {}
-        scores, evidence = [], []
-        for _, _, data, offsets in slices(texts):
-            for features in model.features(data, offsets):
-                key = features.tobytes()
-                if key not in known:
-                    if len(known) >= _CACHED:
-                        known.clear()
-                    ids = [model.ids[i] for i in model.nearest(features)[0]] if len(features) else []
-                    known[key] = (model.calibrated(model.share(features) if len(features) else model.prior), ids)
-                value, ids = known[key]
-                scores.append(value)
-                evidence.append(ids)
-        return [pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))]
+        known = sent.value
+        scores, ids, sizes = [np.zeros(0)], [_NONE], [_NONE]
+        for start, end, data, offsets in slices(texts):
+            row, term, count = known.terms.counts(data, offsets)
+            entries, cosines = known.nearest(row, term, count, end - start)
+            shares = known.shares(entries, cosines)
+            some = cosines > 0
+            scores.append(np.where(some.any(1) | (len(known.ids) == 0), known.calibrated(shares), known.prior))
+            ids.append(known.ids[entries[some]] if len(known.ids) else _NONE)
+            sizes.append(some.sum(1))
+        ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+        return [pa.array(np.concatenate(scores)), list_column(np.concatenate(ids), ends)]
 
     return with_text_columns(docs, added, "score double, evidence array<long>")
 

@@ -1,11 +1,16 @@
+import math
 import os
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from termfold.llm import toxicity
+from termfold.llm.arrays import slices
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -39,21 +44,72 @@ def model(tables):
     return toxicity.fit(*tables)
 
 
-def test_nearest_equals_all_cosines(model):
-    assert len(model.terms) and len(model.ids)
-    dense = np.zeros((len(model.ids), len(model.weights)))
-    for feature, (at, values) in enumerate(model.postings):
-        dense[at, feature] = values
-    draw = np.random.default_rng(1)
-    for _ in range(50):
-        features = np.sort(draw.choice(len(model.weights), draw.integers(1, 6), replace=False))
-        entries, cosines = model.nearest(features, 7)
-        query = np.zeros(len(model.weights))
-        query[features] = model.vector(features)
-        every = np.round(dense @ query, 12)
-        order = np.lexsort((np.arange(len(every)), -every))
-        order = order[every[order] > 0][:7]
-        assert cosines == pytest.approx(every[order]) and set(entries[cosines > cosines.min()]) <= set(order) if len(order) else not len(entries)
+def words(text):
+    """Runs of ASCII letters and characters outside ASCII, ASCII and Latin-1 capitals folded."""
+    fold = {c: c + 32 for c in (*range(65, 91), *range(0xC0, 0xDF))}
+    return re.findall(r"[A-Za-z\u0080-\U0010ffff]+", (text or "").translate(fold))
+
+
+def plain_scores(docs, labels):
+    """Cosines of every document with every example, votes of the nearest: as the docstring says, by itself."""
+    label = {}
+    for i, toxic in labels:
+        if i is not None and toxic is not None:
+            label[i] = max(label.get(i, 0), toxic)
+    examples = [(i, label[i], Counter(words(t))) for i, t in docs if i in label]
+    n = Counter(t > 0 for _, t, _ in examples)
+    df = Counter(w for _, t in docs for w in set(words(t)))
+    of = {kind: Counter(w for _, t, c in examples if (t > 0) == kind for w in c) for kind in (False, True)}
+    known = set(of[False]) | set(of[True])
+
+    def vector(counts):
+        v = {}
+        for w, c in counts.items():
+            if w in known:
+                rate = (max(0, of[True][w] - 1) / n[True]) / (max(1, of[False][w]) / n[False])
+                v[w] = (1 + math.log(c)) * math.log((1 + len(docs)) / (1 + df[w])) * math.log2(2 + rate) ** 2
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    vectors = [(i, t, vector(c)) for i, t, c in examples]
+    return [sorted((-round(sum(x * e.get(w, 0) for w, x in v.items()), 9), t > 0, i) for i, t, e in vectors) for v in (vector(Counter(words(t))) for _, t in docs)]
+
+
+def test_cosines_equal_those_of_all_examples(tables, model):
+    """The index finds the k nearest: same cosines as comparing with every example."""
+    docs, labels = made()
+    expected = plain_scores(docs, labels)
+    arrays = pa.array([t for _, t in docs])
+    for start, end, data, offsets in slices(arrays):
+        row, term, count = model.terms.counts(data, offsets)
+        entries, cosines = model.nearest(row, term, count, end - start)
+        for text in range(start, end):
+            # An entry stands for all examples with its vector.
+            distinct = sorted({-c for c, _, _ in expected[text] if c < 0}, reverse=True)
+            found = sorted({round(c, 9) for c in cosines[text - start] if c > 0}, reverse=True)
+            assert found == pytest.approx(distinct[: len(found)], abs=1e-6)
+            assert len(found) == len(distinct) or np.count_nonzero(cosines[text - start]) == toxicity.NEIGHBOURS
+
+
+def test_few_blocks_are_scored_where_bounds_are_tight(model, monkeypatch):
+    assert len(model.ids) > 4 * toxicity.BLOCK
+    read = []
+    runs = toxicity._runs
+    monkeypatch.setattr(toxicity, "_runs", lambda a, b: read.append(int((b - a).sum())) or runs(a, b))
+    for _, _, data, offsets in slices(pa.array(["ugliest ugliest ugliest verade monion talur"])):
+        model.nearest(*model.terms.counts(data, offsets), 1)
+    postings = sum(model.block_start[model.term_start[t + 1]] - model.block_start[model.term_start[t]] for t in model.terms.counts(data, offsets)[1])
+    assert sum(read[1:]) < postings
+
+
+def test_terms_of_small_blocks_and_groups(tables, model, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 5)
+    monkeypatch.setattr(toxicity, "TOGETHER", 7)
+    monkeypatch.setattr(toxicity, "CHUNK", 11)
+    again = toxicity.fit(*tables)
+    for _, _, data, offsets in slices(pa.array([t for _, t in made()[0]])):
+        mine, theirs = (m.nearest(*m.terms.counts(data, offsets), len(offsets) - 1)[1] for m in (model, again))
+        assert np.allclose(mine, theirs)
 
 
 def test_scores_of_odd_rows(tables, model):
