@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from termfold.llm import secrets
 
 # The three patterns as they are stated, as a yardstick.
@@ -48,6 +50,51 @@ def test_novel_strings_near_context_words():
     assert found(f"token = {random_}") == []
 
 
+def shares(alphabet, length, before, after="", n=200):
+    draw = random.Random(9)
+    hits = 0
+    for _ in range(n):
+        value = "".join(draw.choices(alphabet, k=length))
+        text = before + value + after
+        spans = secrets.novel_spans(text, secrets.base_spans(text))
+        hits += (len(before), len(before) + length) in [s[:2] for s in spans]
+    return hits / n
+
+
+ALNUM = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+@pytest.mark.parametrize(
+    "alphabet, length, before, after",
+    [
+        (ALNUM[:52], 20, "credential: ", ""),
+        (ALNUM[26:52], 20, "credential: ", ""),
+        (ALNUM, 12, "credential: ", ""),
+        ("0123456789ABCDEF", 256, "credential: ", ""),
+        (ALNUM + "+/", 16, "credential: ", ""),
+        (ALNUM + "+/", 20, "private_key: ", ""),
+        (ALNUM, 20, "access_key=", ""),
+        (ALNUM, 40, "AWS_SECRET_ACCESS_KEY=", "\nREGION=north\n"),
+        (ALNUM, 24, "    # bearer of the session\n    header('", "')\n    return client\n"),
+    ],
+)
+def test_random_values_are_found_whatever_their_alphabet(alphabet, length, before, after):
+    assert shares(alphabet, length, before, after) > 0.85
+
+
+def test_names_words_and_dates_are_not():
+    for name in ["MAX_CONNECTION_RETRIES", "AbstractAuthenticationProvider", "client_secret_expires_at", "application/octet-stream",
+                 "getUserSessionToken2", "understanding", "2024-01-15", "default_client_session_value_1", "Verschlüsselung"]:
+        text = f"the credential of the session is {name} as before"
+        assert secrets.novel_spans(text, secrets.base_spans(text)) == [], name
+
+
+def test_dictionary_is_the_packages_own():
+    """Spans do not change with the version of Python."""
+    assert hashlib.sha256(secrets.identifier_dictionary()).hexdigest()[:8] == "de5c0608"
+    assert len(set(secrets.IDENTIFIERS)) == len(secrets.IDENTIFIERS)
+
+
 def test_table_with_odd_rows(spark):
     long = "words " * 50_000 + "password: abcdef123" + " more" * 1000
     rows = [(1, None), (2, ""), (3, long), (None, "AKIA" + "Z" * 16), (4, "0" * 24), (4, "0" * 24), (5, "bearer q7ZpX2vLk9TfWm4RsB1y")]
