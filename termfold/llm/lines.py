@@ -201,22 +201,41 @@ def near_repeats(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return pairs.join(own, "h").join(other, "kept").where(_verified("a", "b")).select("h", "kept")
 
 
-def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
-    """``doc, row, line`` of the lines that go."""
+def removed_lines(docs: DataFrame, near_words: int = NEAR_WORDS, copy_share: float | None = None) -> DataFrame:
+    """``doc, row, line`` of the lines that go; ``copy_share`` as in :func:`dedup_lines`."""
     lines = stored(lines_of(docs, near_words), "lines")
     distinct = lines.groupBy("h").agg(
         F.min(F.struct("doc", "line", "row")).alias("first"), F.count("*").alias("n"), *[F.max(k).alias(k) for k in ("k0", "k1", "k2", "k3")]
     )
     distinct = stored(distinct, "distinct_lines")
-    near = near_repeats(docs, distinct).select("h", F.lit(True).alias("near"))
+    near = near_repeats(docs, distinct)
+    if copy_share is not None:
+        of_kept = distinct.select(F.col("h").alias("kept"), F.col("first.doc").alias("near_owner"))
+        near = stored(near, "near_lines").join(of_kept, "kept")
+    near = near.drop("kept").withColumn("near", F.lit(True))
     # Lines that occur more than once, or have an earlier neighbour.
-    marked = distinct.join(near, "h", "left").where("n > 1 or near").select("h", "near", F.col("first.doc").alias("_d"), F.col("first.line").alias("_l"))
-    marked = stored(marked, "repeated_lines")
+    marked = distinct.join(near, "h", "left").where("n > 1 or near")
+    owner = [F.coalesce("near_owner", "first.doc").alias("owner")] if copy_share is not None else []
+    marked = stored(marked.select("h", "near", F.col("first.doc").alias("_d"), F.col("first.line").alias("_l"), *owner), "repeated_lines")
     later = (F.col("doc") != F.col("_d")) | (F.col("line") != F.col("_l"))
-    gone = lines.select("h", "doc", "row", "line").join(marked, "h").where(F.coalesce("near", F.lit(False)) | later)
+    gone = lines.select("h", "doc", "row", "line", "words").join(marked, "h").where(F.coalesce("near", F.lit(False)) | later)
+    if copy_share is not None:
+        gone = _without_copies(lines, stored(gone.select("doc", "row", "line", "words", "owner"), "owned_lines"), copy_share)
     return gone.select("doc", "row", "line")
 
 
+def _without_copies(lines: DataFrame, gone: DataFrame, share: float) -> DataFrame:
+    """``gone`` but for the lines of documents whose owner has at least ``share`` of their words."""
+    # A row for each repeated document and owner.
+    owned = gone.where("owner <> doc").groupBy("doc", "row", "owner").agg(F.sum("words").alias("owned"))
+    most = owned.groupBy("doc", "row").agg(F.max(F.struct("owned", F.bitwise_not("owner").alias("first"))).alias("most"))
+    # Repeated rows have their lines twice, on both sides.
+    totals = lines.groupBy("doc", "row").agg(F.sum("words").alias("total"))
+    copies = most.join(totals, ["doc", "row"]).where(F.col("most.owned") >= share * F.col("total"))
+    copies = copies.select("doc", "row", F.bitwise_not("most.first").alias("owner"))
+    return gone.join(stored(copies, "copied_documents"), ["doc", "row", "owner"], "left_anti")
+
+
 @F.pandas_udf(StringType())
 def _without(text: pd.Series, lines: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else _rest(t, set(gone)) for t, gone in zip(text, lines)], dtype=object)
@@ -226,11 +245,15 @@ def _rest(text: str, gone: set[int]) -> str:
     return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
 
 
-def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS) -> DataFrame:
-    """``docs`` without the lines that repeat earlier ones; adds ``n_lines`` (of the text before) and ``n_removed``."""
+def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS, copy_share: float | None = None) -> DataFrame:
+    """``docs`` without the lines that repeat earlier ones; adds ``n_lines`` (of the text before) and ``n_removed``.
+
+    With ``copy_share``, a document of whose words at least this share (a half or more) repeats lines of one earlier
+    document keeps the lines it has from there: it is a copy as a whole, for a step that judges whole documents.
+    """
     columns = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
     docs = docs.select(columns)
-    by_doc = removed_lines(docs, near_words).distinct().groupBy(F.col("doc").alias("_doc"), F.col("row").alias("_row"))
+    by_doc = removed_lines(docs, near_words, copy_share).distinct().groupBy(F.col("doc").alias("_doc"), F.col("row").alias("_row"))
     by_doc = stored(by_doc.agg(F.collect_list("line").alias("_lines")), "removed_lines")
     keyed = docs.withColumns({"_doc": _doc(), "_row": _row()})
     maybe, unchanged = split_by(keyed, F.col("_row"), by_doc, "_row")

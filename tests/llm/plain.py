@@ -68,22 +68,38 @@ def word_distance(a, b):
     return row[-1]
 
 
-def dedup_lines(docs, near_words):
+def dedup_lines(docs, near_words, copy_share=None):
     """docs: (doc_id, text), any order; the text of each row without repeated lines."""
-    lines = []
+    first, lines = {}, []
     for row, (doc_id, text) in enumerate(docs):
         for number, line in enumerate((text or "").split("\n") if text is not None else ()):
-            words = line.encode().split()
+            words = tuple(line.encode().split())
             if words:
                 place = (-(1 << 63) if doc_id is None else doc_id, number)
                 lines.append((place, words, row))
-    gone = defaultdict(set)
+                first[words] = min(first.get(words, place), place)
+    owner = {}
+    for words, place in first.items():
+        near = [
+            other for earlier, other in first.items()
+            if other < place and min(len(words), len(earlier)) >= near_words and abs(len(words) - len(earlier)) <= 1
+            and word_distance(words, earlier) <= 1
+        ]
+        owner[words] = min(near, default=None)
+    gone = defaultdict(dict)
     for place, words, row in lines:
-        for other, earlier, _ in lines:
-            near = min(len(words), len(earlier)) >= near_words and abs(len(words) - len(earlier)) <= 1
-            if other < place and (words == earlier or (near and word_distance(words, earlier) <= 1)):
-                gone[row].add(place[1])
-                break
+        if owner[words] is not None or place != first[words]:
+            gone[row][place[1]] = (owner[words] or first[words])[0]
+    if copy_share is not None:
+        for row, (doc_id, text) in enumerate(docs):
+            size, own = {n: len(line.encode().split()) for n, line in enumerate((text or "").split("\n"))}, Counter()
+            for n, of in gone[row].items():
+                if of != (-(1 << 63) if doc_id is None else doc_id):
+                    own[of] += size[n]
+            if own:
+                most = min(own, key=lambda of: (-own[of], of))
+                if own[most] >= copy_share * sum(size.values()):
+                    gone[row] = {n: of for n, of in gone[row].items() if of != most}
     return [
         None if text is None else "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone[row])
         for row, (_, text) in enumerate(docs)

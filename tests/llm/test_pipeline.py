@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import plain
-from termfold.llm import langid, lines, mixing, pieces
+from termfold.llm import jaccard, langid, lines, mixing, pieces
 from termfold.session import stored
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -41,7 +41,8 @@ def test_each_stage_against_a_plain_version(spark):
 
     before = found
     table, found = step("line_dedup", table)
-    expected = dict(zip(before, plain.dedup_lines([(i, r.text) for i, r in before.items()], lines.NEAR_WORDS)))
+    expected = dict(zip(before, plain.dedup_lines([(i, r.text) for i, r in before.items()], lines.NEAR_WORDS, corpus_pipeline.COPY_SHARE)))
+    expected = {i: text for i, text in expected.items() if text.strip()}
     assert table.columns == COLUMNS and {i: r.text for i, r in found.items()} == expected
     assert all(r.n_chars == len(r.text) for r in found.values())
 
@@ -51,6 +52,7 @@ def test_each_stage_against_a_plain_version(spark):
     assert table.columns == COLUMNS and set(found) == {i for i, _, c in groups if c == i}
     assert all(found[i] == before[i] for i in found)
 
+    assert len(found) < len(before)
     before = found
     dealt = mixing.mix(table).collect()
     cells = {}
@@ -75,3 +77,55 @@ def test_run_takes_all_stages(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.columns == [*COLUMNS, "tokens", "n_tokens", "lossless"]
     assert rows.where("not lossless").count() == 0 and rows.count() > 50
+    assert rows.where("text is null or not text rlike '[^ \\t\\n]'").count() == 0
+
+
+LARGER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test tables")
+def test_near_duplicates_go_whole(spark):
+    """Line dedup leaves copies for the stage that judges whole documents: it drops what the operator names on raw texts."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    named = {r.doc_id for r in jaccard.near_duplicates(docs.select("doc_id", "text")).where("component_id <> doc_id").collect()}
+    language = stored(stages["language"](spark, docs, LARGER), "language")
+    deduped = stored(stages["line_dedup"](spark, language, LARGER), "line_dedup")
+    kept = {r.doc_id for r in stages["near_duplicates"](spark, deduped, LARGER).collect()}
+    before = {r.doc_id for r in deduped.collect()}
+    assert len(named) > 50
+    assert len(named & kept) <= 0.05 * len(named)
+    assert len(before - kept) > 0.8 * len(named & before)
+    assert len((before - kept) - named) <= 0.02 * len(before)
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars bigint, score string, kept string, topic int, n_lines string, lang_pred string, Weight string"
+
+
+def clashing(spark, rows):
+    return spark.createDataFrame([(*row, len(row[1] or ""), "s", "k", 7, "n", "l", "w") for row in rows], CLASHING)
+
+
+def test_columns_of_the_same_names_come_through(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(F.length("text") < 2000).collect()
+    table = stored(clashing(spark, [(r.doc_id, r.text, r.lang, r.source) for r in docs]), "clashing")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stored(stage(spark, table, SF_DIR), name)
+        extra = out.select("score", "kept", "topic", "n_lines", "lang_pred", "Weight").distinct().collect()
+        assert [tuple(r) for r in extra] == [("s", "k", 7, "n", "l", "w")], name
+        assert out.columns[: len(table.columns)] == table.columns
+        table = out
+    assert table.columns[len(table.columns) - 3 :] == ["tokens", "n_tokens", "lossless"]
+
+
+def test_run_on_empty_and_repeated_rows(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for name, some in (("empty", docs.limit(0)), ("repeated", docs.where("doc_id < 60").union(docs.where("doc_id < 60")))):
+        some.write.parquet(str(tmp_path / name / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).collect() == []
+    rows = corpus_pipeline.run(spark, str(tmp_path / "repeated")).collect()
+    twice = {}
+    for r in rows:
+        twice.setdefault((r.doc_id, r.text), []).append(r.tokens)
+    assert rows and all(len(t) == 2 and t[0] == t[1] for t in twice.values())
+    assert len({t for _, t in twice}) == len(twice)
