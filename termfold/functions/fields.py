@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from itertools import accumulate
-
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from termfold import values as v
 from termfold.functions.clean import strip
 
-BRACES = re.compile(r"\{\{|\}\}")
-STEP = {"{{": 1, "}}": -1}
-
 
 # The parts below are cut out without CASE branches: Spark evaluates a common
 # subexpression, here the whole page, only once where no branch is in the way.
@@ -66,46 +57,57 @@ def extract_body(text: Column, keep_body_without_links: bool = False) -> Column:
     return body
 
 
-def balanced_end(text: str, start: int) -> int | None:
-    """Where the braces that open at ``start`` are balanced: the first running sum of zero."""
-    steps = ((brace.end(), STEP[brace.group()]) for brace in BRACES.finditer(text, start))
-    sums = accumulate(steps, lambda so_far, step: (step[0], so_far[1] + step[1]))
-    return next((end for end, depth in sums if depth == 0), None)
-
-
-def infobox_spans(text: str) -> dict:
-    """Where the balanced infoboxes of one page lie (0-based) and where the rest begins.
-
-    Each box runs from its opening to the braces that balance it. An unbalanced
-    box ends the search and opens the rest.
-    """
-    boxes, rest = [], 0
-    while (opening := text.find(v.INFOBOX_OPEN, rest)) >= 0:
-        end = balanced_end(text, opening)
-        if end is None:
-            return {"boxes": boxes, "rest": opening}
-        boxes.append({"at": opening, "size": end - opening})
-        rest = end
-    return {"boxes": boxes, "rest": rest}
-
-
-BOX = StructType([StructField("at", IntegerType()), StructField("size", IntegerType())])
-SPANS = StructType([StructField("boxes", ArrayType(BOX)), StructField("rest", IntegerType())])
-
-
-@F.arrow_udf(SPANS)
-def spans_of_infoboxes(text: pa.Array) -> pa.Array:
-    found = [None if page is None else infobox_spans(page) for page in text.to_pylist()]
-    return pa.array(found, to_arrow_type(SPANS))
+BRACES = r"\{+(?:infobox)?|\}+"
+BOX = "struct<at: int, size: int>"
 
 
 def infobox_positions(text: Column) -> Column:
-    """Struct of box positions, null for a page without an infobox.
+    """Struct of box positions (0-based) and of where the rest begins, null for a page without an infobox.
 
-    Python gets the text of pages that have a box, nothing for the others, and
-    sends back a few integers; the strings are cut out in the JVM.
+    Each box runs from its opening to the braces that balance it. An unbalanced box ends the search and opens the rest.
+    Runs of braces are taken in order with the running sum of the pairs in them: a run that opens adds its pairs, one
+    that closes takes pairs away until the sum is zero. Outside a box only the last two braces before its name count.
     """
-    return spans_of_infoboxes(F.when(F.contains(text, F.lit(v.INFOBOX_OPEN)), text))
+    runs = F.regexp_extract_all(text, F.lit(BRACES), F.lit(0))
+    between = F.transform(F.split(text, BRACES, -1), F.length)
+    steps = F.zip_with(
+        runs,
+        F.slice(between, 1, F.size(runs)),
+        lambda run, gap: F.struct(
+            gap.alias("gap"),
+            F.length(run).alias("size"),
+            F.when(F.endswith(run, F.lit("infobox")), F.length(run) - len("infobox")).otherwise(F.length(run)).alias("braces"),
+            F.startswith(run, F.lit("{")).alias("opens"),
+            F.endswith(run, F.lit("infobox")).alias("named"),
+        ),
+    )
+
+    def step(so_far: Column, run: Column) -> Column:
+        at, depth, pairs = so_far["at"] + run["gap"], so_far["depth"], F.shiftright(run["braces"], 1)
+        inside, opens = depth > 0, run["opens"]
+        closes = inside & ~opens & (pairs >= depth)
+        starts = ~inside & opens & run["named"] & (pairs > 0)
+        end = at + 2 * depth
+        box = F.struct(so_far["opening"].alias("at"), (end - so_far["opening"]).alias("size"))
+        return F.struct(
+            (at + run["size"]).alias("at"),
+            F.when(inside & opens, depth + pairs).when(inside & ~closes, depth - pairs).when(starts, 1).otherwise(0).alias("depth"),
+            F.when(starts, at + run["braces"] - 2).otherwise(so_far["opening"]).alias("opening"),
+            F.when(closes, end).otherwise(so_far["rest"]).alias("rest"),
+            F.when(closes, F.concat(so_far["boxes"], F.array(box))).otherwise(so_far["boxes"]).alias("boxes"),
+        )
+
+    nothing = [F.lit(0).alias(name) for name in ("at", "depth", "opening", "rest")]
+    found = F.aggregate(
+        steps,
+        F.struct(*nothing, F.array().cast(f"array<{BOX}>").alias("boxes")),
+        step,
+        lambda last: F.struct(
+            last["boxes"].alias("boxes"),
+            F.when(last["depth"] > 0, last["opening"]).otherwise(last["rest"]).alias("rest"),
+        ),
+    )
+    return F.when(F.contains(text, F.lit(v.INFOBOX_OPEN)), found)
 
 
 def infobox_content(text: Column, positions: Column) -> Column:

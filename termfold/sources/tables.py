@@ -18,6 +18,22 @@ MARKUP_TEXT = """concat(
   concat('[[Category:', lang, ' texts]]', chr(10), '[[Category:', source, '-docs|', lang, ']]'))"""
 
 
+# A harder view: no box, one of depth 4, two boxes with text between, an unclosed box after a closed one, odd braces.
+NESTED_TEXT = """concat('Lead ', lang, ' ',
+  CASE doc_id % 5
+    WHEN 0 THEN ''
+    WHEN 1 THEN concat('{{Infobox a ', source, ' {{b|{{c|{{d ', lang, '}} }} }} e}} ')
+    WHEN 2 THEN concat('{{Infobox first ', source, '}} between {{cite}} {{Infobox second {{x}} ', lang, '}} ')
+    WHEN 3 THEN concat('{{Infobox whole ', lang, '}} then {{Infobox open {{y}} ')
+    ELSE concat('{{{Infobox odd {{{', source, '}}} {z} }} } ') END,
+  text)"""
+
+
+def nested_pages(documents: DataFrame) -> DataFrame:
+    """``(Id, Text)`` pages with boxes of all kinds made from ``(doc_id, text, lang, source)``."""
+    return documents.selectExpr("cast(doc_id AS string) AS Id", f"{NESTED_TEXT} AS Text")
+
+
 def markup_pages(documents: DataFrame) -> DataFrame:
     """``(Id, Title, Text)`` wiki pages made from ``(doc_id, text, lang, source)``."""
     return documents.selectExpr(

@@ -4,8 +4,6 @@ import random
 import re
 
 import duckdb
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import duckdb_oracle
@@ -41,19 +39,21 @@ def boxes_and_rest(text):
     return boxes, text
 
 
-@settings(max_examples=1500, deadline=None)
-@given(st.lists(st.sampled_from(PIECES), max_size=25).map("".join))
-def test_infobox_spans(text):
-    found = fields.infobox_spans(text)
-    inside = [text[b["at"] + 9 : b["at"] + b["size"] - 2] for b in found["boxes"]]
-    assert (inside, text[found["rest"] :]) == boxes_and_rest(text)
-
-
 def random_texts(pieces, count, longest, seed):
     random.seed(seed)
     return ["".join(random.choices(pieces, k=random.randrange(longest))) for _ in range(count)]
 
 
+def test_infobox_positions(spark):
+    texts = random_texts(PIECES, 6000, 25, seed=4) + ["", "{{infobox", "}}{{infobox}}", "{{{{infobox a}}}} b", "{{infobox {{{}}} }}}} c"]
+    rows = spark.createDataFrame([(x,) for x in texts], "t string").select("t", fields.infobox_positions(F.col("t")).alias("p")).collect()
+    for row in rows:
+        found = row.p or {"boxes": [], "rest": 0}
+        inside = [row.t[box["at"] + 9 : box["at"] + box["size"] - 2] for box in found["boxes"]]
+        assert (inside, row.t[found["rest"] :]) == boxes_and_rest(row.t), row.t
+    assert any(row.p and len(row.p.boxes) > 1 for row in rows)
+
+
 def test_links_and_body_equal_their_patterns(spark):
     pieces = ["external links", "[[category", ":a]]", " ", "\n", "\t", "x", "external", "[["]
     texts = random_texts(pieces, 4000, 12, seed=5)
