@@ -8,7 +8,8 @@ the examples' terms. Examples with equal vectors are one entry with the votes of
 
 Entries are held in an inverted index in blocks, with the largest weight of every term in every block. For a text, the
 bound of a block is the sum over the text's terms of weight times the block's largest weight. The blocks with the best
-bounds are scored first, then all whose bound reaches the k-th similarity found; ties count. Votes are weighted by
+bounds are scored first, then all whose bound reaches the k-th similarity found; ties count. Postings of terms that are in
+at least ``COMMON`` of the entries are kept as rows of a matrix, whose blocks are multiplied. Votes are weighted by
 1 / (distance + ``SOFT``), and the share of toxic votes is calibrated by a logistic curve fitted on leave-one-out votes
 of the examples.
 
@@ -24,7 +25,7 @@ it is 0. Equal similarities are taken by entry. :func:`score` keeps other column
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,10 @@ THRESHOLD = 0.7
 PRIOR_EXAMPLES = 20
 #: Blocks of a text that are scored before bounds are compared.
 FIRST_BLOCKS = 4
-#: Texts scored at once, and postings read at once for them.
+#: Texts scored at once.
 TOGETHER = 128
+#: Share of the entries from which on a term's postings are kept as a row of a matrix.
+COMMON = 0.05
 #: Counts that a row of document frequencies carries.
 CHUNK = 1 << 14
 _TOP = 44
@@ -126,6 +129,7 @@ class Model:
     block_start: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     entry: np.ndarray = field(default_factory=lambda: _NONE)
     value: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    _common: tuple | None = field(default=None, repr=False)
 
     def vectors(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rows: int) -> np.ndarray:
         """Weights of length 1 for each row."""
@@ -147,36 +151,58 @@ class Model:
             entries[low : low + n, : some.shape[1]], cosines[low : low + n, : some.shape[1]] = some, values
         return entries, cosines
 
+    def rows_of_common(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of each term in the matrix (-1: none), the matrix by entry and its largest values by block; made once in a worker."""
+        if self._common is None:
+            size, blocks = len(self.ids), -(-len(self.ids) // BLOCK)
+            postings = self.block_start[self.term_start[1:]] - self.block_start[self.term_start[:-1]]
+            common = np.flatnonzero(postings >= max(2, COMMON * size))
+            place = np.full(len(self.terms), -1, np.int64)
+            place[common] = np.arange(len(common))
+            matrix = np.zeros((len(common), blocks * BLOCK))
+            at, of = _runs(self.block_start[self.term_start[common]], self.block_start[self.term_start[common + 1]])
+            matrix[of, self.entry[at]] = self.value[at]
+            self._common = place, matrix, matrix.reshape(len(common), blocks, BLOCK).max(2)
+        return self._common
+
     def _nearest(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         size, blocks = len(self.ids), -(-len(self.ids) // BLOCK)
+        place, matrix, most = self.rows_of_common()
+        common = place[term] >= 0
+        dense = np.zeros((rows, len(matrix)))
+        dense[row[common], place[term[common]]] = weight[common]
+        row, term, weight = row[~common], term[~common], weight[~common]
         at, of = _runs(self.term_start[term], self.term_start[term + 1])
         row, weight = row[of], weight[of]
         cell = row * blocks + self.block[at]
-        bounds = np.bincount(cell, weight * self.most[at], rows * blocks)
-        scores = np.zeros(rows * size)
+        bounds = np.bincount(cell, weight * self.most[at], rows * blocks).reshape(rows, blocks) + dense @ most
+        scores = np.zeros((rows, blocks * BLOCK))
 
         def opened(which: np.ndarray) -> None:
-            some = which[cell]
+            for block in np.flatnonzero(which.any(0)):
+                asked = np.flatnonzero(which[:, block])
+                part = slice(block * BLOCK, (block + 1) * BLOCK)
+                scores[asked, part] += dense[asked] @ matrix[:, part]
+            some = which.ravel()[cell]
             posting, run = _runs(self.block_start[at[some]], self.block_start[at[some] + 1])
-            scores[:] += np.bincount(row[some][run] * size + self.entry[posting], weight[some][run] * self.value[posting], rows * size)
+            cells = row[some][run] * scores.shape[1] + self.entry[posting]
+            scores.ravel()[:] += np.bincount(cells, weight[some][run] * self.value[posting], scores.size)
 
         def ordered() -> np.ndarray:
             """Cosines as whole numbers with the entry behind, so that no two are equal."""
-            fine = np.round(scores * _FINE).astype(np.int64).reshape(rows, size)
+            fine = np.round(scores[:, :size] * _FINE).astype(np.int64)
             return fine * size + (size - 1 - np.arange(size))
 
         k = min(k, size)
-        by_bound = bounds.reshape(rows, blocks)
-        first = np.zeros((rows, blocks), bool)
+        first = np.ones((rows, blocks), bool)
         if blocks > FIRST_BLOCKS:
-            best = np.argpartition(-by_bound, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS]
+            first[:] = False
+            best = np.argpartition(-bounds, FIRST_BLOCKS, axis=1)[:, :FIRST_BLOCKS]
             np.put_along_axis(first, best, True, 1)
-        else:
-            first[:] = True
-        first = first.ravel() & (bounds > 0)
+        first &= bounds > 0
         opened(first)
-        least = np.partition(ordered(), size - k, axis=1)[:, size - k] // size / _FINE
-        more = ~first & (bounds > 0) & (bounds >= np.repeat(least, blocks) - 1e-9)
+        least = np.partition(scores[:, :size], size - k, axis=1)[:, size - k]
+        more = ~first & (bounds > 0) & (bounds >= least[:, None] - 1e-9)
         if more.any():
             opened(more)
         keys = ordered()
@@ -358,7 +384,8 @@ def _calibrate(model: Model, kept: list, place: dict[bytes, int], weight: dict[b
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``evidence``, the ids of the nearest examples, of each whole ``text``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Without the matrix, which each worker makes for itself.
+    sent = docs.sparkSession.sparkContext.broadcast(replace(model, _common=None))
 
     def added(texts: pa.Array) -> list[pa.Array]:
         known = sent.value
