@@ -31,14 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType, StructType
 
-from termfold.llm.arrays import list_column
+from termfold.llm.arrays import list_column, slices
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-ROWS_TOGETHER = 500
+#: Bytes of text, and parts of it, that are encoded together.
+BYTES_TOGETHER = 1 << 20
+PARTS_TOGETHER = 1 << 17
 META = "▁"
 #: Parts that a worker remembers, of at most ``WIDEST`` characters.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 WIDEST = 64
 _MASK = (1 << 64) - 1
 _PLACE, _PIECE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
@@ -331,7 +333,10 @@ class Encoder:
         documents = np.array([document_key(self.seed, i) for i in ids], np.uint64)
         starts = np.cumsum(counts) - counts
         places = np.arange(len(parts)) - np.repeat(starts, counts)
-        tokens = self._tokens(parts, occurrence_keys(np.repeat(documents, counts), places))
+        keys = occurrence_keys(np.repeat(documents, counts), places)
+        tokens: list[bytes] = []
+        for low in range(0, len(parts), PARTS_TOGETHER):
+            tokens += self._tokens(parts[low : low + PARTS_TOGETHER], keys[low : low + PARTS_TOGETHER])
         for at in spelled:
             tokens[at] = self.meta
         bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens))) // 4))
@@ -401,8 +406,8 @@ def encode(
             _encoders.clear()
             encoder = _encoders[name] = Encoder(sent.value, dropout, seed)
         for batch in batches:
-            for low in range(0, batch.num_rows, ROWS_TOGETHER):
-                part = batch.slice(low, ROWS_TOGETHER)
+            for low, high, _, _ in slices(batch.column(at), BYTES_TOGETHER):
+                part = batch.slice(low, high - low)
                 texts = part.column(at).to_pylist()
                 joined, ends = encoder(texts, part.column(id_at).to_pylist())
                 spelled, bounds = encoder.pieces.spelled_out(joined)
