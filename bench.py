@@ -12,6 +12,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termfold.operators import keyed
 from termfold.operators.documents import field_documents, stemmed_documents, tokenize_documents
 from termfold.operators.wordcount import word_count
 from termfold.plans import index_build, search
@@ -35,6 +36,8 @@ def main() -> None:
     dump = scratch_path(spark, "dump")
     plain, stemmed = scratch_path(spark, "plain"), scratch_path(spark, "stemmed")
     xml.write_page_elements(pages, dump)
+    table = scratch_path(spark, "keyed")
+    puts = documents.where("doc_id % 100 = 0").selectExpr("cast(doc_id AS string) AS Id", "1L AS sequence", "upper(source) AS Title")
 
     def find(asked: DataFrame, path: str, stem: bool) -> None:
         index = index_build.read_index(spark, path)
@@ -54,6 +57,11 @@ def main() -> None:
         "search_one": lambda: find(one_query, stemmed, True),
         "search_all": lambda: find(queries, stemmed, True),
         "search_all_unstemmed": lambda: find(queries, plain, False),
+        "search_one_json": lambda: search.search_job(spark, one_query, stemmed, scratch_path(spark, "hits")),
+        "term_lookup_all": lambda: run(search.term_lookup(search.query_terms(queries), index_build.read_index(spark, stemmed))),
+        "keyed_write": lambda: keyed.write_keyed_table(field_documents(pages), table),
+        "keyed_put": lambda: keyed.put_documents(spark, table, puts),
+        "keyed_read": lambda: run(keyed.read_keyed_table(spark, table)),
         "word_count": lambda: run(word_count(tables.spread(documents).select(F.col("text").alias("value")))),
     }
     def timed(job) -> float:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from termfold import values as v
 from termfold.sources.tables import MARKUP_TEXT, MARKUP_TITLE
 
+# These patterns, the ones in sequential(), single_pass(), BOXED and PARTED, and the stop lists decide the
+# results and are stated plainly, as a yardstick.
 JUNK = r"[~`!@#$%\-^*+{}\[\]|\\<>/?,:&]"
 INFOBOX = r"\{\{infobox((?:[^{}]|\{\{[^{}]*\}\})*)\}\}"
 # What strip() removes, as far as it is ASCII: 9 to 13 and 28 to 32.

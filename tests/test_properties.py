@@ -64,6 +64,7 @@ def test_links_and_body_equal_their_patterns(spark):
         fields.extract_body(t).alias("body"),
     ).collect()
     for row in rows:
+        # The two field patterns as they are stated.
         links = re.search(r"(?s).*external links\s*([\s\S]*?)\s*\[\[category", row.t)
         body = re.search(r"(?s)(.*)external links", row.t)
         assert row.links == (links.group(1) if links else ""), row.t
