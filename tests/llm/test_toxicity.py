@@ -105,14 +105,14 @@ def test_few_blocks_are_scored_where_bounds_are_tight(model, monkeypatch):
     model._common = None
 
 
-def test_terms_of_small_blocks_and_groups(tables, model, monkeypatch):
-    monkeypatch.setattr(toxicity, "BLOCK", 5)
-    monkeypatch.setattr(toxicity, "TOGETHER", 7)
-    monkeypatch.setattr(toxicity, "CHUNK", 11)
-    again = toxicity.fit(*tables)
-    for _, _, data, offsets in slices(pa.array([t for _, t in made()[0]])):
-        mine, theirs = (m.nearest(*m.terms.counts(data, offsets), len(offsets) - 1)[1] for m in (model, again))
-        assert np.allclose(mine, theirs)
+def test_sizes_of_blocks_and_groups_change_nothing(tables, model, monkeypatch):
+    def cosines(of):
+        return [of.nearest(*of.terms.counts(d, o), len(o) - 1)[1] for _, _, d, o in slices(pa.array([t for _, t in made()[0]]))]
+
+    expected = cosines(model)
+    for name, size in (("BLOCK", 5), ("TOGETHER", 7), ("CHUNK", 11), ("COMMON", 0.3)):
+        monkeypatch.setattr(toxicity, name, size)
+    assert all(np.allclose(a, b) for a, b in zip(expected, cosines(toxicity.fit(*tables))))
 
 
 def test_scores_of_odd_rows(tables, model):
