@@ -103,7 +103,7 @@ CUT = {
 
 @BOTH
 @pytest.mark.parametrize("name", CUT)
-def test_a_file_that_ends_inside_a_page_fails(spark, tmp_path, splits, whole_files, name):
+def test_a_file_that_ends_inside_a_page_fails(spark, tmp_path, whole_files, name):
     (tmp_path / "d.xml").write_text("<mediawiki>" + CUT[name])
     with pytest.raises(Exception):
         xml.read_pages(spark, str(tmp_path / "d.xml"), whole_files).collect()
