@@ -46,7 +46,7 @@ LONGEST = 8
 #: Cost of verifying a candidate, in postings.
 VERIFYING = 4.0
 #: Sequences that a task remembers to emit copies once.
-REMEMBERED = 500_000
+REMEMBERED = 100_000
 #: Nodes of a shingle that a list holds.
 LISTED = 4096
 

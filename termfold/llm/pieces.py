@@ -37,10 +37,10 @@ TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 #: Bytes of text, and parts of it, that are encoded together.
 BYTES_TOGETHER = 1 << 20
-PARTS_TOGETHER = 1 << 17
+PARTS_TOGETHER = 1 << 16
 META = "▁"
 #: Parts that a worker remembers, of at most ``WIDEST`` characters.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 WIDEST = 64
 _MASK = (1 << 64) - 1
 _PLACE, _PIECE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
@@ -154,8 +154,9 @@ class Pieces:
         width = 4
         while width <= WIDEST:
             places = np.flatnonzero(widths == width)
-            for low in range(0, len(places), 1 << 13):
-                some = places[low : low + (1 << 13)]
+            step = (1 << 17) // width
+            for low in range(0, len(places), step):
+                some = places[low : low + step]
                 self._advance([parts[i] for i in some.tolist()], lengths[some], width, keys[some], threshold, some, out, came)
             width *= 2
         part, place, piece = (np.concatenate(x) for x in zip(*came))
