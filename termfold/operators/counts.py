@@ -13,9 +13,14 @@ from termfold.functions import stemming
 
 
 def term_frequency(words: DataFrame, field: str) -> DataFrame:
-    """``(Id, Word, <field>)``: how often a word occurs in one field of a document."""
+    """``(Id, Word, <field>)``: how often a word occurs in one field of a document.
+
+    ``explode`` would have the optimizer test the array's size first, below all projections: there the field's
+    expressions take the place of its name, as often as they name each other. An outer one has no such test, and the
+    null it gives for an empty field goes with the empty words.
+    """
     return (
-        words.select("Id", F.explode(field).alias("Word"))
+        words.select("Id", F.explode_outer(field).alias("Word"))
         .filter(F.col("Word") != "")
         .groupBy("Id", "Word")
         .agg(F.count("Word").alias(field))

@@ -1,5 +1,5 @@
 from termfold import values as v
-from termfold.operators import counts
+from termfold.operators import counts, documents
 from termfold.operators.wordcount import word_count, write_counts
 
 SCHEMA = "Id string, " + ", ".join(f"{field} array<string>" for field in v.FIELDS)
@@ -35,6 +35,14 @@ def test_one_shuffle_for_all_fields(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_fields_are_not_evaluated_again_below_the_explode(spark):
+    pages = spark.createDataFrame([("1", "A title", "a {{infobox b}} c ==external links== d [[category:e]]")], "Id string, Title string, Text string")
+    words = documents.drop_stop_words(documents.tokenize_documents(documents.field_documents(pages)))
+    for field in v.FIELDS:
+        plan = counts.term_frequency(words, field)._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter (" in line and "regexp_replace" in line], field
+
+
 def test_word_count_of_text_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text("the cat\tThe  cat \n\n cat's\n")
     counted = word_count(spark.read.text(str(tmp_path)))
