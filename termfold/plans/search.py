@@ -138,6 +138,8 @@ def result_documents(
         lambda hit: F.struct(hit["key"].alias("key"), hit["score"].alias("score")),
     )
     sizes = ranked_scores.groupBy("query_id").agg((F.floor((F.max("rank") - 1) / results_per_document) + 1).alias("documents"))
+    # One row per query that found something, read by two joins.
+    sizes = stored(sizes, "result_sizes")
     hits = (
         ranked_scores.withColumn("document", number)
         .groupBy("query_id", "document")
@@ -149,14 +151,23 @@ def result_documents(
     error = F.to_json(
         F.struct(text, F.lit("error").alias("status"), F.lit(v.NOTHING_FOUND).alias("message"))
     )
-    return queries.join(hits, "query_id", "left").select(
-        "query_id",
-        F.coalesce("document", F.lit(0)).cast("long").alias("document"),
-        F.coalesce("documents", F.lit(1)).cast("long").alias("documents"),
-        F.when(F.col("results").isNull(), error).otherwise(success).alias("json"),
+    answers = queries.join(hits, "query_id").select("query_id", "document", "documents", success.alias("json"))
+    return answers.unionByName(
+        _unanswered(queries, sizes).select(
+            "query_id", F.lit(0).cast("long").alias("document"), F.lit(1).cast("long").alias("documents"), error.alias("json")
+        )
     )
 
 
+def _unanswered(queries: DataFrame, answered: DataFrame) -> DataFrame:
+    """Queries without a row in ``answered``.
+
+    A left join of queries and hits would find them too, but it can only send the hits to all tasks, never the queries:
+    it brings all hits of a query to one task and sorts them there.
+    """
+    return queries.join(answered.select("query_id"), "query_id", "left_anti")
+
+
 def write_results(documents: DataFrame, path: str) -> None:
     """One line of JSON for each result document: query, its number and the number of all, and the document."""
     line = F.to_json(F.struct("query_id", "document", "documents", F.col("json").alias("result")))
@@ -165,12 +176,12 @@ def write_results(documents: DataFrame, path: str) -> None:
 
 def listing(queries: DataFrame, ranked_scores: DataFrame) -> DataFrame:
     """``(query_id, rank, line)``: each query's hits as lines in order, or the line that nothing was found."""
-    hits = queries.select("query_id").join(ranked_scores, "query_id", "left")
+    asked = queries.select("query_id")
     line = F.concat_ws(" ", "key", F.col("score").cast("string"))
-    return hits.select(
-        "query_id",
-        F.coalesce("rank", F.lit(0)).cast("long").alias("rank"),
-        F.when(F.col("rank").isNull(), F.lit(v.NOTHING_FOUND)).otherwise(line).alias("line"),
+    found = ranked_scores.join(asked, "query_id").select("query_id", F.col("rank").cast("long").alias("rank"), line.alias("line"))
+    nothing = _unanswered(asked, ranked_scores.select("query_id").distinct())
+    return found.unionByName(
+        nothing.select("query_id", F.lit(0).cast("long").alias("rank"), F.lit(v.NOTHING_FOUND).alias("line"))
     )
 
 

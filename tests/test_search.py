@@ -155,3 +155,15 @@ def test_weights_can_be_set(spark, index):
     weights = {**v.WEIGHTS, "title": 1, "base": 0}
     found = scores(search.search(queries(spark, "sun"), index, weights=weights))
     assert found == {(0, "1"): 51, (0, "2"): 3}
+
+
+def test_hits_are_not_dealt_out_by_query_for_the_texts_of_the_queries(spark, index):
+    asked = queries(spark, "sun", "nothing", "cats")
+    ranked = search.rank_results(search.search(asked, index))
+    listed = search.listing(asked, ranked)
+    documents = search.result_documents(asked, ranked, results_per_document=1)
+    for result in (listed, documents):
+        plan = result._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftOuter" not in plan
+    assert sorted(r.query_id for r in listed.where("rank = 0").collect()) == [1]
+    assert sorted((r.query_id, r.document, r.documents) for r in documents.collect()) == [(0, 0, 2), (0, 1, 2), (1, 0, 1), (2, 0, 1)]
