@@ -94,11 +94,16 @@ def term_lookup(terms: DataFrame, index: Index) -> DataFrame:
 
 
 def score_documents(found: DataFrame, weights: dict[str, int] = v.WEIGHTS) -> DataFrame:
-    """``(query_id, key, score)``: scores summed over the terms of a query, any term matches."""
+    """``(query_id, key, score)``: scores summed over the terms of a query, any term matches.
+
+    A posting list names a document once, so adding up before the shuffle brings rows of one file hardly down, but keeps
+    them all in that task's memory. Rows are dealt out first.
+    """
     hits = found.select("query_id", "repeats", F.explode("Postings").alias("posting"))
     score = scoring.posting_score(F.col("posting"), weights) * F.col("repeats")
     return (
         hits.select("query_id", F.col("posting.doc_id").alias("key"), score.alias("score"))
+        .repartition("query_id", "key")
         .groupBy("query_id", "key")
         .agg(F.sum("score").alias("score"))
     )
@@ -117,8 +122,11 @@ def search(
 
 
 def rank_results(scores: DataFrame) -> DataFrame:
-    """``(query_id, key, score, rank)``: best first, ties by key."""
-    return ranked(scores, [F.desc("score"), "key"], within=["query_id"])
+    """``(query_id, key, score, rank)``: best first, ties by key.
+
+    Scores are stored first, as a range partitioning evaluates its input twice.
+    """
+    return ranked(stored(scores, "scores"), [F.desc("score"), "key"], within=["query_id"])
 
 
 def result_documents(

@@ -167,3 +167,12 @@ def test_hits_are_not_dealt_out_by_query_for_the_texts_of_the_queries(spark, ind
         assert "LeftOuter" not in plan
     assert sorted(r.query_id for r in listed.where("rank = 0").collect()) == [1]
     assert sorted((r.query_id, r.document, r.documents) for r in documents.collect()) == [(0, 0, 2), (0, 1, 2), (1, 0, 1), (2, 0, 1)]
+
+
+def test_rows_are_dealt_out_before_scores_are_added_up(spark, index):
+    found = search.term_lookup(search.query_terms(queries(spark, "sun planets")), index)
+    plan = search.score_documents(found)._jdf.queryExecution().executedPlan().toString()
+    # Plans are printed from the top: both halves of the sum stand above the one exchange by document.
+    by_document = [line for line in plan.splitlines() if "Exchange hashpartitioning(query_id" in line and "key#" in line]
+    assert len(by_document) == 1
+    assert plan.index("partial_sum(score") < plan.index(by_document[0])
