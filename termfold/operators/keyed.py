@@ -2,8 +2,8 @@
 
 A keyed table is a folder of three kinds of things:
 
-- a *base*: Parquet files of rows sorted by key, cut into regions of about ``rows_per_region`` rows. The number of regions
-  is kept with the table and grows with it; file statistics prune a range of keys to its regions;
+- a *base*: Parquet files of rows sorted by key, cut into regions of about ``rows_per_region`` rows, or fewer where rows are
+  long (``BYTES_PER_REGION``). The number of regions is kept with the table and grows with it; file statistics prune a range of keys to its regions;
 - *logs*: one folder for each put, which holds the put cells and nothing else;
 - *versions*: one row of JSON for each state, naming the base and the logs that make it up.
 
@@ -27,6 +27,8 @@ from termfold.session import delete_folder, scratch_run, stored
 
 DOCUMENT_CELLS = list(v.FIELDS)
 ROWS_PER_REGION = 1_000_000
+# Bytes of a region's cells, whatever its rows: one task sorts and writes a region.
+BYTES_PER_REGION = 128 << 20
 # Logs are merged into the base when there are more than this, or when their rows are this share of the base's.
 MOST_LOGS = 16
 LOG_SHARE = 0.25
@@ -101,21 +103,24 @@ def _add_version(spark: SparkSession, path: str, version: int, **state) -> None:
     row.coalesce(1).write.mode("append").json(f"{path}/versions/version={version}")
 
 
-def _write_base(rows: DataFrame, folder: str, key: str, count: int, rows_per_region: int) -> int:
-    """Write rows sorted by key; the number of regions."""
-    regions = max(1, -(-count // rows_per_region))
+def _bytes(columns: list[str]) -> Column:
+    return sum([F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns], F.lit(0).cast("long"))
+
+
+def _write_base(rows: DataFrame, folder: str, key: str, rows_per_region: int) -> tuple[int, int]:
+    """Write stored rows sorted by key; the numbers of rows and of regions."""
+    size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(_bytes(rows.columns)), F.lit(0)).alias("bytes")).first()
+    regions = max(1, -(-size.rows // rows_per_region), -(-size.bytes // BYTES_PER_REGION))
     rows.repartitionByRange(regions, key).sortWithinPartitions(key).write.parquet(folder)
-    return regions
+    return size.rows, regions
 
 
 def write_keyed_table(df: DataFrame, path: str, key: str = "Id", rows_per_region: int = ROWS_PER_REGION) -> None:
     """Write a table that ``put_documents`` can update, or a version of it that replaces all rows. Keys are unique."""
     spark = df.sparkSession
     with scratch_run(spark):
-        rows = stored(df, "keyed_rows")
-        count = rows.count()
         base = f"base-{uuid.uuid4().hex}"
-        regions = _write_base(rows, f"{path}/{base}", key, count, rows_per_region)
+        count, regions = _write_base(stored(df, "keyed_rows"), f"{path}/{base}", key, rows_per_region)
     try:
         version = table_state(spark, path).version + 1
     except FileNotFoundError:
@@ -168,8 +173,7 @@ def put_documents(
         key = state.key
         put = [c for c in (cells or state.cells) if c in updates.columns and c in state.cells]
         puts = stored(last_puts(updates.where(F.col(key).isNotNull()), key, put, sequence), "puts")
-        size = sum([F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in puts.columns], F.lit(0))
-        asked = puts.agg(F.count("*").alias("rows"), F.sum(size).alias("bytes"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+        asked = puts.agg(F.count("*").alias("rows"), F.sum(_bytes(puts.columns)).alias("bytes"), F.min(key).alias("low"), F.max(key).alias("high")).first()
         if not asked.rows:
             return
         base = spark.read.parquet(f"{path}/{state.base}")
@@ -201,8 +205,7 @@ def compact(spark: SparkSession, path: str, rows_per_region: int = ROWS_PER_REGI
     with scratch_run(spark):
         # Stored, as a range partitioning evaluates its input twice.
         merged = stored(read_keyed_table(spark, path, state.version), "merged_documents")
-        count = merged.count()
-        regions = _write_base(merged, f"{path}/{base}", state.key, count, rows_per_region)
+        count, regions = _write_base(merged, f"{path}/{base}", state.key, rows_per_region)
     _add_version(
         spark, path, state.version + 1, base=base, logs=[], key=state.key, cells=state.cells, rows=count, regions=regions,
         log_rows=0, log_bytes=0,

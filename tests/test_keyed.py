@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from termfold.operators import keyed
 
@@ -180,3 +181,16 @@ def test_sink_passes_format_options_and_mode(spark, tmp_path):
 def test_cells_as_bytes(spark):
     row = keyed.encoded(spark.createDataFrame([("1", "é", 3)], "Id string, t string, n int")).first()
     assert [bytes(cell) for cell in row] == [b"1", "é".encode(), b"3"]
+
+
+def test_regions_of_long_rows_hold_fewer_of_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "BYTES_PER_REGION", 10_000)
+    path = str(tmp_path / "long")
+    rows = spark.createDataFrame([(f"{i:04d}", "x" * 996) for i in range(100)], "Id string, Text string")
+    keyed.write_keyed_table(rows, path)
+    state = keyed.table_state(spark, path)
+    assert (state.rows, state.regions) == (100, 10)
+    keyed.put_documents(spark, path, rows.withColumn("sequence", F.lit(1)))
+    keyed.compact(spark, path)
+    assert keyed.table_state(spark, path).regions == 10
+    assert sorted(keyed.read_keyed_table(spark, path).collect()) == sorted(rows.collect())
