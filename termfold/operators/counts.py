@@ -28,9 +28,13 @@ def term_frequency(words: DataFrame, field: str) -> DataFrame:
 
 
 def merge_term_frequencies(frequencies: list[DataFrame]) -> DataFrame:
-    """Full outer merge of per-field counts on document and word, absent counts 0."""
-    merged = reduce(lambda left, right: left.join(right, ["Id", "Word"], "full_outer"), frequencies)
-    return merged.select("Id", "Word", *v.FIELDS).fillna(0, v.FIELDS)
+    """Full outer merge of per-field counts on document and word, absent counts 0.
+
+    A frequency has one row per document and word, so rows set under each other and added up are the outer join's. A
+    chain of outer joins would deal out and sort the rows merged so far again for every further field.
+    """
+    under_each_other = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frequencies)
+    return under_each_other.groupBy("Id", "Word").agg(*[F.sum(name).alias(name) for name in v.FIELDS]).fillna(0, v.FIELDS)
 
 
 def field_term_counts(words: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:

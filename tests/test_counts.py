@@ -23,6 +23,12 @@ def test_one_pass_equals_outer_merge(spark):
     assert {tuple(row) for row in one_pass.collect()} == expected
 
 
+def test_merged_rows_are_not_dealt_out_again_for_every_field(spark):
+    words = spark.createDataFrame(ROWS, SCHEMA)
+    merged = counts.merge_term_frequencies([counts.term_frequency(words, f) for f in v.FIELDS])
+    assert "Join" not in merged._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_stop_words_can_go_while_counting(spark):
     words = spark.createDataFrame(ROWS, SCHEMA)
     left = {row.Word for row in counts.field_term_counts(words, ["b", "d"]).collect()}
