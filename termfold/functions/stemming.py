@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -20,6 +21,8 @@ from termfold.functions.porter import PorterStemmer
 
 # Stems kept per Python worker; a bound, so that junk words cannot fill its memory.
 REMEMBERED_WORDS = 1 << 18
+# Bytes of lines that are split into words at a time: words, their places and stems take some ten times as much.
+SLICE_BYTES = 4 << 20
 
 
 @lru_cache(maxsize=None)
@@ -39,6 +42,13 @@ def stem_lines(lines: pa.Array, mode: str, dropped: frozenset[str]) -> pa.Array:
     return pc.utf8_rtrim(pc.binary_join(stemmed, ""), " ")
 
 
+def slices(lines: pa.Array) -> list[pa.Array]:
+    """The lines in runs of about ``SLICE_BYTES`` bytes; a longer line is one run."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(lines), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1).tolist(), len(lines)]
+    return [lines.slice(start, end - start) for start, end in zip(cuts, cuts[1:])]
+
+
 def line_bounds(words: pa.ListArray) -> pa.Array:
     """Offsets of the lists in the flattened array; a null line is an empty list."""
     lengths = pc.fill_null(pc.list_value_length(words), 0)
@@ -51,7 +61,7 @@ def stem_text(text: Column, mode: str = "extended", dropped: Iterable[str] = ())
 
     @F.arrow_udf(StringType())
     def stem_column(lines: pa.Array) -> pa.Array:
-        return stem_lines(lines, mode, leave_out)
+        return pa.concat_arrays([stem_lines(some, mode, leave_out) for some in slices(lines)])
 
     return stem_column(text)
 

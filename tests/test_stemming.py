@@ -1,4 +1,5 @@
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,14 @@ def test_stop_word_filter_equals_the_transformer(spark):
     theirs = StopWordsRemover(inputCol="words", outputCol="kept").transform(df)
     rows = theirs.withColumn("ours", without_index_stop_words(F.col("words"))).collect()
     assert all(row.kept == row.ours for row in rows)
+
+
+def test_lines_are_split_in_bounded_runs(monkeypatch):
+    lines = pa.array(["the planets", None, "", "x " * 50 + "cats", *["running dogs"] * 40, "cats"])
+    whole = stemming.stem_lines(lines, "extended", frozenset(["the"])).to_pylist()
+    monkeypatch.setattr(stemming, "SLICE_BYTES", 60)
+    runs = stemming.slices(lines)
+    assert pa.concat_arrays(runs).equals(lines)
+    assert all(sum(len(x or "") for x in run.to_pylist()) <= 60 + 12 for run in runs if len(run) > 1)
+    assert [x for run in runs for x in stemming.stem_lines(run, "extended", frozenset(["the"])).to_pylist()] == whole
+    assert [run.to_pylist() for run in stemming.slices(pa.array([], pa.string()))] == [[]]
