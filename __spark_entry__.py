@@ -300,7 +300,8 @@ def posting_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = postings.decode_postings(posting_strings(spark, sf_dir))
-    return decoded.select("Word", F.explode("Postings").alias("posting")).select("Word", "posting.*")
+    # No list is empty. A plain explode would test that first, which makes and parses every string once more.
+    return decoded.select("Word", F.explode_outer("Postings").alias("posting")).select("Word", "posting.*")
 
 
 def posting_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

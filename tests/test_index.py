@@ -182,3 +182,10 @@ def test_lookup_in_an_empty_index_finds_nothing(spark):
     words = spark.createDataFrame([("a",)], "Word string")
     assert lookup.secondary_lookup(words, secondary).collect() == []
     assert lookup.locate_words(secondary, ["a"]) == {}
+
+
+def test_decoded_lists_are_not_tested_for_rows_first(spark):
+    import __spark_entry__ as contract
+
+    plan = contract.decode_postings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter (" in line and "split(" in line]
