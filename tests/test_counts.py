@@ -56,3 +56,21 @@ def test_word_count_of_text_files(spark, tmp_path):
     write_counts(counted, str(tmp_path / "out"))
     lines = {row.value for row in spark.read.text(str(tmp_path / "out")).collect()}
     assert lines == {"the\t1", "The\t1", "cat\t2", "cat's\t1"}
+
+
+def test_documents_of_one_row_are_counted_without_a_shuffle(spark):
+    once = [row for row in ROWS if row[0] != "2"] + [(None, ["a", None, "the"], None, [], ["the"], ["a", ""])]
+    words = spark.createDataFrame(once, SCHEMA)
+    counted = counts.field_term_counts(words, ["the"])
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    expected = {("1", "a", 1, 2, 0, 0, 0), ("1", "b", 0, 1, 0, 0, 0), ("1", "c", 0, 0, 0, 1, 0), (None, "a", 1, 0, 0, 0, 1)}
+    assert {tuple(row) for row in counted.collect()} == expected
+
+
+def test_rows_are_counted_in_runs_and_null_ids_are_one_document(spark, monkeypatch):
+    monkeypatch.setattr(counts, "WORDS_TOGETHER", 2)
+    rows = [*ROWS, (None, ["x"], [], [], [], []), (None, ["x"], ["x", "y"], [], [], [])]
+    words = spark.createDataFrame(rows * 3, SCHEMA)
+    merged = counts.merge_term_frequencies([counts.term_frequency(words, f) for f in v.FIELDS])
+    found = counts.field_term_counts(words).select(merged.columns)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, merged.collect()), key=str)
