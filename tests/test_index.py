@@ -86,6 +86,39 @@ def test_segments_without_a_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_most_words_may_be_frequent(spark, monkeypatch):
+    counts = stored(term_documents(spark), "counts")
+    expected = sorted(postings.inverted_index(counts, segment_size=5).collect())
+    monkeypatch.setattr(postings, "SALTED_WORDS", 3)
+    monkeypatch.setattr(postings, "POSTINGS_PER_TASK", 100)
+    frequent = postings.frequent_words(postings.document_frequencies(counts), 5)
+    assert frequent.count() > 30
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for threshold in ("10485760", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            index = postings.inverted_index(counts, segment_size=5)
+            assert sorted(index.collect()) == expected
+            assert index.filter("Word = 'hot'").select(F.spark_partition_id().alias("task")).distinct().count() > 1
+            placed = postings.with_segment(counts, frequent)
+            assert set(placed.columns) == {*counts.columns, "segment"}
+        # Rows are dealt out once for the join and the lists; only the very frequent words are joined once per salt.
+        plan = postings.inverted_index(counts, segment_size=5)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY") == 1 and plan.count("Exchange") == 4 and plan.count("Generate") == 1
+        others = postings._with_place(counts, frequent)[0]
+        assert others.filter("segment > 0 and part = 0").select("Word").distinct().count() > 30
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_posting_lists_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    counts = stored(term_documents(spark), "counts")
+    monkeypatch.setattr(postings, "POSTINGS_PER_TASK", 20)
+    plan = postings.inverted_index(counts)._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-counts.count() // 20)}), REPARTITION_BY_NUM" in plan
+
+
 def test_posting_strings(spark):
     rows = [("12", "w", 1, 4, 0, 2, 0), ("31", "w", 0, 1, 0, 0, 0)]
     index = postings.inverted_index(spark.createDataFrame(rows, COUNTS))
