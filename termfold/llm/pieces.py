@@ -45,6 +45,9 @@ WIDEST = 64
 _MASK = (1 << 64) - 1
 _PLACE, _PIECE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
 _SYMBOLS = 1 << 22
+_HASH_BITS = 20
+#: Order of a pair of symbols that is no candidate.
+_NONE = np.iinfo(np.int32).max
 
 
 def _stirred(x: np.ndarray) -> np.ndarray:
@@ -117,10 +120,20 @@ class Pieces:
                 left, right = self._symbol(piece[:cut]), self._symbol(piece[cut:])
                 if left is not None and right is not None:
                     pairs[left * _SYMBOLS + right] = i
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.merged = np.array([pairs[key] for key in self.pairs.tolist()] + [-1], np.int64)
+        # Pairs in order of a hash, the places where each hash begins, and a last pair that there is not.
+        keys = np.array(sorted(pairs), np.int64)
+        hashes = self._hash(keys)
+        by_hash = np.argsort(hashes, kind="stable")
+        self.pairs = np.append(keys[by_hash], np.int64(-1))
+        self.first_of = np.searchsorted(hashes[by_hash], np.arange((1 << _HASH_BITS) + 1)).astype(np.int32)
+        self.merged = np.array([pairs[key] for key in keys[by_hash].tolist()] + [-1], np.int64)
         rank_of = {i: self.rank[piece] for piece, i in self.id.items()}
-        self.pair_rank = np.array([rank_of[i] for i in self.merged[:-1].tolist()] + [np.inf])
+        # Ranks as whole numbers in the same order, and the piece of each, -1 if several pieces share it.
+        ranks, order = np.unique([rank_of[i] for i in self.merged[:-1].tolist()], return_inverse=True)
+        self.pair_order = np.append(order, _NONE).astype(np.int32)
+        self.piece_of = np.zeros(len(ranks), np.int64)
+        self.piece_of[order] = self.merged[:-1]
+        self.piece_of[order[self.piece_of[order] != self.merged[:-1]]] = -1
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.places = np.concatenate(([0], np.cumsum(self.lengths)))
         self.spelling = np.frombuffer(b"".join(self.bytes_of), np.uint8)
@@ -129,25 +142,42 @@ class Pieces:
         found = self.id.get(piece)
         return found if found is not None or len(piece) > 1 else len(self.bytes_of) + ord(piece)
 
+    @staticmethod
+    def _hash(keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(_PLACE)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Place of each pair of symbols in ``pairs``, the last place if it has none."""
         keys = left * _SYMBOLS + right
-        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == keys) & (right >= 0), at, len(self.pairs))
+        hashes = self._hash(keys)
+        at = self.first_of[hashes]
+        met = self.pairs[at] == keys
+        found = np.where(met, at, len(self.pairs) - 1)
+        open_ = np.flatnonzero(~met.ravel())
+        at, ends, keys = at.ravel()[open_], self.first_of[hashes.ravel()[open_] + 1], keys.ravel()[open_]
+        flat = found.reshape(-1)
+        while True:
+            at = at + 1
+            more = at < ends
+            open_, at, ends, keys = open_[more], at[more], ends[more], keys[more]
+            if not len(open_):
+                return found
+            met = self.pairs[at] == keys
+            flat[open_[met]] = at[met]
 
     def segmented_together(
-        self, parts: list[str], keys: np.ndarray, threshold: int = 0
+        self, parts: list[str], keys: np.ndarray, threshold: int = 0, candidates: bool = True
     ) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of many parts, as bytes of 32-bit numbers: the agendas of all advance by one candidate at a time.
 
         Also the candidates that were taken or skipped: part, place and piece of each, in order for each part of at most
-        ``WIDEST`` characters.
+        ``WIDEST`` characters; none if they are not asked for.
         """
         out: list[bytes] = [b""] * len(parts)
         came = [(np.zeros(0, np.int64),) * 3]
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         widths = np.maximum(4, 1 << np.frexp(np.maximum(lengths - 1, 0))[1])
-        if not len(self.pairs):
+        if len(self.pairs) == 1:
             widths[:] = 2 * WIDEST
         for i in np.flatnonzero(widths > WIDEST).tolist():
             out[i] = array("i", self.ids(self.segmented(parts[i], int(keys[i]), threshold))).tobytes()
@@ -157,64 +187,81 @@ class Pieces:
             step = (1 << 17) // width
             for low in range(0, len(places), step):
                 some = places[low : low + step]
-                self._advance([parts[i] for i in some.tolist()], lengths[some], width, keys[some], threshold, some, out, came)
+                self._advance(
+                    [parts[i] for i in some.tolist()], lengths[some], width, keys[some], threshold, some, out, came if candidates else None
+                )
             width *= 2
         part, place, piece = (np.concatenate(x) for x in zip(*came))
         order = np.argsort(part, kind="stable")
         return out, part[order], place[order], piece[order]
 
     def _advance(
-        self, parts: list[str], lengths: np.ndarray, width: int, keys: np.ndarray, threshold: int, numbers: np.ndarray, out: list[bytes], came: list[tuple]
+        self, parts: list[str], lengths: np.ndarray, width: int, keys: np.ndarray, threshold: int, numbers: np.ndarray, out: list[bytes], came: list[tuple] | None
     ) -> None:
-        column = np.arange(width)
+        column = np.arange(width, dtype=np.int32)
         symbols = np.full((len(parts), width), -1, np.int64)
         symbols[column < lengths[:, None]] = self.symbol_of[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
-        begins = np.broadcast_to(column, symbols.shape).copy()
-        pair = np.full(symbols.shape, len(self.pairs))
-        pair[:, :-1] = self._pair(symbols[:, :-1], symbols[:, 1:])
-        ranks = self.pair_rank[pair]
+        orders = np.full(symbols.shape, _NONE, np.int32)
+        orders[:, :-1] = self.pair_order[self._pair(symbols[:, :-1], symbols[:, 1:])]
+        # A cell holds a symbol and, above it, the place where it begins; a cell without one is negative.
+        cells = np.where(symbols < 0, -1, symbols + column * _SYMBOLS).astype(np.int32)
         rows = np.arange(len(parts))
         while True:
-            best = ranks.argmin(1)
-            index = np.arange(len(rows))
-            open_ = ranks[index, best] < np.inf
-            if not open_.all():
-                self._finished(symbols[~open_], numbers[rows[~open_]], out)
-                rows, symbols, begins, pair, ranks, best = (x[open_] for x in (rows, symbols, begins, pair, ranks, best))
+            best = orders.argmin(1)
+            lowest = orders[np.arange(len(rows)), best]
+            open_ = lowest < _NONE
+            index = np.flatnonzero(open_)
+            # Rows that are done leave when they are many, not one by one.
+            if 8 * len(index) < 7 * len(rows):
+                self._finished(cells[~open_], numbers[rows[~open_]], out)
+                rows, cells, orders, best, lowest = (x[open_] for x in (rows, cells, orders, best, lowest))
                 index = np.arange(len(rows))
-            if not len(rows):
+            if not len(index):
+                if len(rows):
+                    self._finished(cells, numbers[rows], out)
                 return
-            into = self.merged[pair[index, best]]
-            came.append((numbers[rows], begins[index, best], into))
+            at = best[index]
+            cell = cells[index, at].astype(np.int64)
+            left, begins = cell & (_SYMBOLS - 1), cell // _SYMBOLS
+            into = self.piece_of[lowest[index]]
+            shared = np.flatnonzero(into < 0)
+            if len(shared):
+                right = cells[index[shared], at[shared] + 1] & (_SYMBOLS - 1)
+                into[shared] = self.merged[self._pair(left[shared], right.astype(np.int64))]
+            if came is not None:
+                came.append((numbers[rows[index]], begins, into))
             if threshold:
-                skipped = _hashes(keys[rows], begins[index, best], into) < threshold
-                ranks[index[skipped], best[skipped]] = np.inf
+                skipped = _hashes(keys[rows[index]], begins, into) < threshold
+                orders[index[skipped], at[skipped]] = _NONE
                 taken = ~skipped
                 if not taken.any():
                     continue
-                index, best, into = index[taken], best[taken], into[taken]
-            symbols[index, best] = into
+                index, at, into, begins = index[taken], at[taken], into[taken], begins[taken]
+            cells[index, at] = into + begins * _SYMBOLS
             # The right part goes; what stands behind it moves up.
-            moved = np.minimum(column + (column > best[:, None]), width - 1)
-            for matrix, blank in ((symbols, -1), (begins, 0), (pair, len(self.pairs)), (ranks, np.inf)):
-                shifted = np.take_along_axis(matrix[index], moved, 1)
-                shifted[:, -1] = blank
-                matrix[index] = shifted
-            for at in (best - 1, best):
-                here = (at >= 0) & (at < width - 1)
-                i, a = index[here], at[here]
-                pair[i, a] = self._pair(symbols[i, a], symbols[i, a + 1])
-                ranks[i, a] = self.pair_rank[pair[i, a]]
-
-    def _finished(self, symbols: np.ndarray, numbers: np.ndarray, out: list[bytes]) -> None:
-        filled = symbols >= 0
+            merging = np.full(len(rows), width, np.int32)
+            merging[index] = at
+            moved = column[:-1] > merging[:, None]
+            for matrix, blank in ((cells, -1), (orders, _NONE)):
+                matrix[:, :-1] = np.where(moved, matrix[:, 1:], matrix[:, :-1])
+                matrix[index, -1] = blank
+            for side in (at - 1, at):
+                here = (side >= 0) & (side < width - 1)
+                i, a = index[here], side[here]
+                # A cell without a symbol becomes one that is in no pair.
+                left, right = (x.astype(np.int64) & (_SYMBOLS - 1) for x in (cells[i, a], cells[i, a + 1]))
+                orders[i, a] = self.pair_order[self._pair(left, right)]
+
+    def _finished(self, cells: np.ndarray, numbers: np.ndarray, out: list[bytes]) -> None:
+        filled = cells >= 0
+        symbols = cells & np.int32(_SYMBOLS - 1)
         ends = np.cumsum(filled.sum(1)) * 4
-        data = symbols[filled].astype(np.int32).tobytes()
-        spelled = (symbols >= len(self.bytes_of)).any(1)
+        data = symbols[filled].tobytes()
+        spelled = ((symbols >= len(self.bytes_of)) & filled).any(1)
         start = 0
-        for i, number in enumerate(numbers.tolist()):
-            out[number] = data[start : ends[i]] if not spelled[i] else self._spelled(symbols[i][filled[i]])
-            start = ends[i]
+        for i, (number, end, plain) in enumerate(zip(numbers.tolist(), ends.tolist(), (~spelled).tolist())):
+            out[number] = data[start:end] if plain else self._spelled(symbols[i][filled[i]])
+            start = end
 
     def _spelled(self, symbols: np.ndarray) -> bytes:
         size, tokens = len(self.bytes_of), array("i")
@@ -360,7 +407,7 @@ class Encoder:
         tokens = list(map(self.memory.tokens.__getitem__, np.where(own, 0, numbers).tolist())) if self.memory.tokens else [b""] * len(parts)
         again = np.flatnonzero(own)
         some = again.tolist()
-        for i, value in zip(some, self.pieces.segmented_together([parts[i] for i in some], keys[again], self.threshold)[0]):
+        for i, value in zip(some, self.pieces.segmented_together([parts[i] for i in some], keys[again], self.threshold, candidates=False)[0]):
             tokens[i] = value
         return tokens
 

@@ -121,3 +121,32 @@ def test_table_with_odd_rows(spark, model):
     repeated = [r.tokens for r in back if r.doc_id == 3 and r.was == ODD[6]]
     assert len(repeated) == 2 and repeated[0] == repeated[1]
     assert pieces.encode(docs.limit(0), model).collect() == []
+
+
+def test_pairs_are_found_by_hash_also_where_hashes_are_shared(monkeypatch):
+    for bits in (2, 20):
+        monkeypatch.setattr(pieces, "_HASH_BITS", bits)
+        model = pieces.Pieces(pieces.read_model())
+        place = {key: i for i, key in enumerate(model.pairs[:-1].tolist())}
+        some = np.array(list(place)[:: max(1, len(place) // 200)], np.int64)
+        asked = np.concatenate([some, some + 1, some - (some % pieces._SYMBOLS) - 1])
+        left, right = asked // pieces._SYMBOLS, asked % pieces._SYMBOLS
+        expected = [place.get(key, len(place)) for key in asked.tolist()]
+        assert model._pair(left, right).tolist() == expected
+        assert model._pair(left.reshape(3, -1), right.reshape(3, -1)).ravel().tolist() == expected
+
+
+def test_tables_of_an_agenda_are_narrow():
+    model = pieces.Pieces(pieces.read_model())
+    shared = model.piece_of < 0
+    assert model.pair_order.dtype == np.int32 and 0 < (~shared).sum()
+    words = ["▁international", "▁understanding", "aé漢", "▁", "ab" * 40, "▁\U0001f600x"]
+    keys = np.arange(len(words), dtype=np.uint64)
+    for threshold in (0, 1 << 29, 1 << 32):
+        for narrowed in (model.piece_of, np.full_like(model.piece_of, -1)):
+            model.piece_of = narrowed
+            together = model.segmented_together(words, keys, threshold)
+            alone = [np.array(model.ids(model.segmented(w, int(k), threshold)), np.int32).tobytes() for w, k in zip(words, keys)]
+            assert together[0] == alone
+            plain = model.segmented_together(words, keys, threshold, candidates=False)
+            assert plain[0] == alone and len(plain[1]) == 0
