@@ -372,10 +372,8 @@ def secondary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_term_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = stored(query_terms(spark, sf_dir), "query_terms")
-    found = search.term_lookup(terms, _index(spark, sf_dir))
-    return postings.encode_postings(found).select(
-        "query_id", "Word", "repeats", "segment", "Document_Counts"
-    )
+    found = search.term_lookup(terms, _index(spark, sf_dir), lists=postings.encode_postings)
+    return found.select("query_id", "Word", "repeats", "segment", "Document_Counts")
 
 
 def search_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

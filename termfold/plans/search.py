@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,12 @@ def _files_of(index: Index, located: dict[str, int]) -> list[str] | None:
     return sorted(r.file for r in rows if any(r.first_word <= w <= r.last_word for w in of_batch[r.batch]))
 
 
-def few_words(words: list[str], terms: DataFrame, index: Index) -> DataFrame:
+def _rewritten(rows: DataFrame, lists: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """Index rows as ``lists`` makes them: dealt out, as one file can hold most of them, and stored, as a join would make them anew for each match."""
+    return stored(lists(rows.repartition("Word", "segment")), "found_lists") if lists else rows
+
+
+def few_words(words: list[str], terms: DataFrame, index: Index, lists: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Postings of words in hand. The manifest names the files of their batches; words are pushed down to the scan."""
     located = locate_words(index.secondary, words)
     files = _files_of(index, located)
@@ -64,10 +70,10 @@ def few_words(words: list[str], terms: DataFrame, index: Index) -> DataFrame:
     else:
         rows = index.files(files)
     # A few hundred words and the queries that ask for them: the smaller side, but known to be so only at run time.
-    return rows.where(F.col("Word").isin(sorted(located))).join(terms, "Word")
+    return _rewritten(rows.where(F.col("Word").isin(sorted(located))), lists).join(terms, "Word")
 
 
-def many_words(terms: DataFrame, index: Index) -> DataFrame:
+def many_words(terms: DataFrame, index: Index, lists: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Postings of any number of words.
 
     The batch column prunes the scan at run time. Rows of other words in those batches leave the scan by a hash of the
@@ -80,17 +86,21 @@ def many_words(terms: DataFrame, index: Index) -> DataFrame:
     asked = F.broadcast(placed.select(word_bucket(F.col("Word")).alias("word_bucket")).distinct())
     rows = index.primary.withColumn("word_bucket", word_bucket(F.col("Word")))
     rows = rows.join(asked, "word_bucket", "left_semi").drop("word_bucket")
+    if lists:
+        # Rows of other words that share a hash are not rewritten.
+        rows = _rewritten(rows.join(placed.select("batch", "Word").distinct(), ["batch", "Word"], "left_semi"), lists)
     return rows.join(placed, ["batch", "Word"])
 
 
-def term_lookup(terms: DataFrame, index: Index) -> DataFrame:
+def term_lookup(terms: DataFrame, index: Index, lists: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``(query_id, Word, repeats, segment, Postings)`` of all terms in the index.
 
-    Words are looked up in the secondary index first, so that only their batches are read.
+    Words are looked up in the secondary index first, so that only their batches are read. ``lists`` (for example
+    ``encode_postings``) rewrites the posting list of a word once, however many queries ask for it.
     """
     words = [row.Word for row in terms.select("Word").distinct().limit(PRUNED_WORDS + 1).collect()]
-    found = few_words(words, terms, index) if len(words) <= PRUNED_WORDS else many_words(terms, index)
-    return found.select("query_id", "Word", "repeats", "segment", "Postings")
+    found = few_words(words, terms, index, lists) if len(words) <= PRUNED_WORDS else many_words(terms, index, lists)
+    return found.select("query_id", "Word", "repeats", "segment", *[c for c in found.columns if c in ("Postings", "Document_Counts")])
 
 
 def score_documents(found: DataFrame, weights: dict[str, int] = v.WEIGHTS) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termfold import values as v
+from termfold.operators import postings
 from termfold.plans import index_build, search
 from termfold.session import scratch_folder, scratch_run, stored
 
@@ -57,6 +58,27 @@ def test_many_words_take_the_join_with_the_same_result(spark, index, monkeypatch
     assert scores(search.search(asked, index)) == expected
 
 
+def test_lists_are_rewritten_once_for_all_queries(spark, index, monkeypatch):
+    asked = stored(search.query_terms(queries(spark, "planets sun sun", "sun cats", "cats sun"), stem=True), "terms")
+    expected = sorted(map(tuple, postings.encode_postings(search.term_lookup(asked, index)).collect()))
+    assert len(expected) > len({row[1] for row in expected})
+    for pruned in (search.PRUNED_WORDS, 0):
+        monkeypatch.setattr(search, "PRUNED_WORDS", pruned)
+        given = []
+
+        def rewritten(rows):
+            given.append(rows.select("Word", "segment").collect())
+            return postings.encode_postings(rows)
+
+        found = search.term_lookup(asked, index, lists=rewritten)
+        assert found.columns == ["query_id", "Word", "repeats", "segment", "Document_Counts"]
+        assert sorted(map(tuple, found.collect())) == expected
+        (rows,) = given
+        assert sorted(rows) == sorted({(row[1], row[3]) for row in expected})
+        # The strings are read by the join, not made above it for every query.
+        assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rows_of_other_words_leave_the_scan_before_lists_move(spark, index, monkeypatch):
     """Also where the wanted words are too many to be sent to every task."""
     monkeypatch.setattr(search, "PRUNED_WORDS", 0)
