@@ -93,6 +93,14 @@ def slices(array: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
+def received(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task. What Arrow's pool keeps of earlier ones is given back: a worker keeps it while it waits, too."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(WHITE_SPACE)] = True
 
@@ -143,8 +151,9 @@ def with_text_columns(
     names = schema.names
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in received(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns, *fn(batch.column(at))], names=names)
+            del batch
 
     return kept.mapInArrow(task, schema)
 

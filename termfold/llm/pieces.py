@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType, StructType
 
-from termfold.llm.arrays import list_column, slices
+from termfold.llm.arrays import list_column, received, slices
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 #: Bytes of text, and parts of it, that are encoded together.
-BYTES_TOGETHER = 1 << 20
+BYTES_TOGETHER = 1 << 18
 PARTS_TOGETHER = 1 << 16
 META = "▁"
 #: Parts that a worker remembers, of at most ``WIDEST`` characters.
@@ -46,8 +46,9 @@ _MASK = (1 << 64) - 1
 _PLACE, _PIECE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9
 _SYMBOLS = 1 << 22
 _HASH_BITS = 20
-#: Order of a pair of symbols that is no candidate.
-_NONE = np.iinfo(np.int32).max
+#: Order of a pair of symbols that is no candidate; orders are multiples of ``WIDEST``, so that a place can be added.
+_NONE = 1 << 30
+_PLACE_BITS = WIDEST.bit_length() - 1
 
 
 def _stirred(x: np.ndarray) -> np.ndarray:
@@ -110,7 +111,7 @@ class Pieces:
     def _tables(self) -> None:
         """The vocabulary as arrays: symbols of code points, mergeable pairs of symbols, bytes of pieces."""
         size = len(self.bytes_of)
-        self.symbol_of = np.arange(0x110000, dtype=np.int64) + size  # a character without a piece
+        self.symbol_of = np.arange(0x110000, dtype=np.int32) + size  # a character without a piece
         for piece, i in self.id.items():
             if len(piece) == 1:
                 self.symbol_of[ord(piece)] = i
@@ -126,12 +127,12 @@ class Pieces:
         by_hash = np.argsort(hashes, kind="stable")
         self.pairs = np.append(keys[by_hash], np.int64(-1))
         self.first_of = np.searchsorted(hashes[by_hash], np.arange((1 << _HASH_BITS) + 1)).astype(np.int32)
-        self.merged = np.array([pairs[key] for key in keys[by_hash].tolist()] + [-1], np.int64)
+        self.merged = np.array([pairs[key] for key in keys[by_hash].tolist()] + [-1], np.int32)
         rank_of = {i: self.rank[piece] for piece, i in self.id.items()}
         # Ranks as whole numbers in the same order, and the piece of each, -1 if several pieces share it.
         ranks, order = np.unique([rank_of[i] for i in self.merged[:-1].tolist()], return_inverse=True)
-        self.pair_order = np.append(order, _NONE).astype(np.int32)
-        self.piece_of = np.zeros(len(ranks), np.int64)
+        self.pair_order = np.append(order << _PLACE_BITS, _NONE).astype(np.int32)
+        self.piece_of = np.zeros(len(ranks), np.int32)
         self.piece_of[order] = self.merged[:-1]
         self.piece_of[order[self.piece_of[order] != self.merged[:-1]]] = -1
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
@@ -148,7 +149,7 @@ class Pieces:
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Place of each pair of symbols in ``pairs``, the last place if it has none."""
-        keys = left * _SYMBOLS + right
+        keys = left.astype(np.int64) * _SYMBOLS + right
         hashes = self._hash(keys)
         at = self.first_of[hashes]
         met = self.pairs[at] == keys
@@ -168,106 +169,129 @@ class Pieces:
     def segmented_together(
         self, parts: list[str], keys: np.ndarray, threshold: int = 0, candidates: bool = True
     ) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of many parts, as bytes of 32-bit numbers: the agendas of all advance by one candidate at a time.
+        """Tokens of each part as bytes of 32-bit numbers, and the candidates as of :meth:`together`."""
+        tokens, sizes, *came = self.together(parts, keys, threshold, candidates)
+        data, ends = tokens.tobytes(), (np.cumsum(sizes) * 4).tolist()
+        return [data[start:end] for start, end in zip([0, *ends], ends)], *came
+
+    def together(
+        self, parts: list[str], keys: np.ndarray, threshold: int = 0, candidates: bool = True
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of many parts, one after the other, and their number: the agendas of all advance by one candidate at a time.
 
         Also the candidates that were taken or skipped: part, place and piece of each, in order for each part of at most
         ``WIDEST`` characters; none if they are not asked for.
         """
-        out: list[bytes] = [b""] * len(parts)
-        came = [(np.zeros(0, np.int64),) * 3]
+        came = [(np.zeros(0, np.int32),) * 3]
+        done = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))]
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         widths = np.maximum(4, 1 << np.frexp(np.maximum(lengths - 1, 0))[1])
         if len(self.pairs) == 1:
             widths[:] = 2 * WIDEST
         for i in np.flatnonzero(widths > WIDEST).tolist():
-            out[i] = array("i", self.ids(self.segmented(parts[i], int(keys[i]), threshold))).tobytes()
-        width = 4
-        while width <= WIDEST:
-            places = np.flatnonzero(widths == width)
-            step = (1 << 17) // width
-            for low in range(0, len(places), step):
-                some = places[low : low + step]
-                self._advance(
-                    [parts[i] for i in some.tolist()], lengths[some], width, keys[some], threshold, some, out, came if candidates else None
-                )
-            width *= 2
+            alone = np.array(self.ids(self.segmented(parts[i], int(keys[i]), threshold)), np.int32)
+            done.append((np.array([i]), np.array([len(alone)]), alone))
+        rows = np.flatnonzero(widths <= WIDEST)
+        rows = rows[np.argsort(widths[rows], kind="stable")]
+        low = 0
+        while low < len(rows):
+            width = int(widths[rows[low]])
+            high = min(low + (1 << 17) // width, int(np.searchsorted(widths[rows], width, "right")))
+            some = rows[low:high]
+            self._advance([parts[i] for i in some.tolist()], lengths[some], width, keys[some], threshold, some, done, came if candidates else None)
+            low = high
+        of, counts, tokens = (np.concatenate(x) for x in zip(*done))
+        sizes, starts = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        sizes[of], starts[of] = counts, np.cumsum(counts) - counts
+        tokens = _picked(tokens, starts, sizes)
         part, place, piece = (np.concatenate(x) for x in zip(*came))
         order = np.argsort(part, kind="stable")
-        return out, part[order], place[order], piece[order]
+        return *self._spelled(tokens, sizes), part[order], place[order], piece[order]
 
     def _advance(
-        self, parts: list[str], lengths: np.ndarray, width: int, keys: np.ndarray, threshold: int, numbers: np.ndarray, out: list[bytes], came: list[tuple] | None
+        self, parts: list[str], lengths: np.ndarray, width: int, keys: np.ndarray, threshold: int, numbers: np.ndarray, done: list[tuple], came: list[tuple] | None
     ) -> None:
-        column = np.arange(width, dtype=np.int32)
-        symbols = np.full((len(parts), width), -1, np.int64)
-        symbols[column < lengths[:, None]] = self.symbol_of[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
-        orders = np.full(symbols.shape, _NONE, np.int32)
-        orders[:, :-1] = self.pair_order[self._pair(symbols[:, :-1], symbols[:, 1:])]
-        # A cell holds a symbol and, above it, the place where it begins; a cell without one is negative.
-        cells = np.where(symbols < 0, -1, symbols + column * _SYMBOLS).astype(np.int32)
-        rows = np.arange(len(parts))
+        """The matrices have a column for each part and a row for each place, and a last row that never holds a symbol."""
+        n = len(parts)
+        at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        at = at * n + np.repeat(np.arange(n), lengths)
+        text = self.symbol_of[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
+        symbols = np.full((width + 1, n), -1, np.int32)
+        symbols.reshape(-1)[at] = text
+        # The candidate at each place: its order and, in the lowest bits, the place.
+        orders = np.full((width + 1, n), _NONE, np.int32)
+        first = np.cumsum(lengths)[:-1]
+        joined = self.pair_order[self._pair(text[:-1], text[1:])]
+        joined[first[(first > 0) & (first < len(text))] - 1] = _NONE
+        orders.reshape(-1)[at[:-1]] = joined + at[:-1] // n
+        after = np.repeat(np.arange(1, width + 2, dtype=np.int32)[:, None], n, 1)
+        before = after - np.int32(2)
+        before[0] = width
+        rows = np.arange(n)
         while True:
-            best = orders.argmin(1)
-            lowest = orders[np.arange(len(rows)), best]
-            open_ = lowest < _NONE
-            index = np.flatnonzero(open_)
-            # Rows that are done leave when they are many, not one by one.
-            if 8 * len(index) < 7 * len(rows):
-                self._finished(cells[~open_], numbers[rows[~open_]], out)
-                rows, cells, orders, best, lowest = (x[open_] for x in (rows, cells, orders, best, lowest))
-                index = np.arange(len(rows))
+            best = orders[:width].min(0)
+            index = np.flatnonzero(best < _NONE)
+            # Parts that are done leave when they are many, not one by one.
+            if 8 * len(index) < 7 * n:
+                closed = np.flatnonzero(best >= _NONE)
+                left = symbols[:width, closed].T
+                filled = left >= 0
+                done.append((numbers[rows[closed]], filled.sum(1), left[filled]))
+                rows, best, n = rows[index], best[index], len(index)
+                symbols, orders, after, before = (x.take(index, 1) for x in (symbols, orders, after, before))
+                index = np.arange(n)
             if not len(index):
-                if len(rows):
-                    self._finished(cells, numbers[rows], out)
+                if n:
+                    left = symbols[:width].T
+                    filled = left >= 0
+                    done.append((numbers[rows], filled.sum(1), left[filled]))
                 return
-            at = best[index]
-            cell = cells[index, at].astype(np.int64)
-            left, begins = cell & (_SYMBOLS - 1), cell // _SYMBOLS
-            into = self.piece_of[lowest[index]]
+            flat_symbols, flat_orders, flat_after, flat_before = (x.reshape(-1) for x in (symbols, orders, after, before))
+            best = best[index]
+            place = best & (WIDEST - 1)
+            here = place * np.int64(n) + index
+            into = self.piece_of[best >> _PLACE_BITS]
             shared = np.flatnonzero(into < 0)
             if len(shared):
-                right = cells[index[shared], at[shared] + 1] & (_SYMBOLS - 1)
-                into[shared] = self.merged[self._pair(left[shared], right.astype(np.int64))]
+                right = flat_symbols[flat_after[here[shared]] * np.int64(n) + index[shared]]
+                into[shared] = self.merged[self._pair(flat_symbols[here[shared]], right)]
             if came is not None:
-                came.append((numbers[rows[index]], begins, into))
+                came.append((numbers[rows[index]].astype(np.int32), place, into))
             if threshold:
-                skipped = _hashes(keys[rows[index]], begins, into) < threshold
-                orders[index[skipped], at[skipped]] = _NONE
+                skipped = _hashes(keys[rows[index]], place, into) < threshold
+                flat_orders[here[skipped]] = _NONE
                 taken = ~skipped
-                if not taken.any():
+                index, place, here, into = index[taken], place[taken], here[taken], into[taken]
+                if not len(index):
                     continue
-                index, at, into, begins = index[taken], at[taken], into[taken], begins[taken]
-            cells[index, at] = into + begins * _SYMBOLS
-            # The right part goes; what stands behind it moves up.
-            merging = np.full(len(rows), width, np.int32)
-            merging[index] = at
-            moved = column[:-1] > merging[:, None]
-            for matrix, blank in ((cells, -1), (orders, _NONE)):
-                matrix[:, :-1] = np.where(moved, matrix[:, 1:], matrix[:, :-1])
-                matrix[index, -1] = blank
-            for side in (at - 1, at):
-                here = (side >= 0) & (side < width - 1)
-                i, a = index[here], side[here]
-                # A cell without a symbol becomes one that is in no pair.
-                left, right = (x.astype(np.int64) & (_SYMBOLS - 1) for x in (cells[i, a], cells[i, a + 1]))
-                orders[i, a] = self.pair_order[self._pair(left, right)]
-
-    def _finished(self, cells: np.ndarray, numbers: np.ndarray, out: list[bytes]) -> None:
-        filled = cells >= 0
-        symbols = cells & np.int32(_SYMBOLS - 1)
-        ends = np.cumsum(filled.sum(1)) * 4
-        data = symbols[filled].tobytes()
-        spelled = ((symbols >= len(self.bytes_of)) & filled).any(1)
-        start = 0
-        for i, (number, end, plain) in enumerate(zip(numbers.tolist(), ends.tolist(), (~spelled).tolist())):
-            out[number] = data[start:end] if plain else self._spelled(symbols[i][filled[i]])
-            start = end
-
-    def _spelled(self, symbols: np.ndarray) -> bytes:
-        size, tokens = len(self.bytes_of), array("i")
-        for symbol in symbols.tolist():
-            tokens.extend([symbol] if symbol < size else [self.byte_ids[b] for b in chr(symbol - size).encode()])
-        return tokens.tobytes()
+            # The right part goes; what stands behind it comes after the left one.
+            gone = flat_after[here] * np.int64(n) + index
+            following = flat_after[gone]
+            behind = following * np.int64(n) + index
+            previous = flat_before[here]
+            ahead = previous * np.int64(n) + index
+            flat_symbols[here], flat_symbols[gone], flat_orders[gone] = into, -1, _NONE
+            flat_after[here], flat_before[behind] = following, place
+            # A place without a symbol is in no pair.
+            found = self.pair_order[
+                self._pair(np.concatenate((flat_symbols[ahead], into)), np.concatenate((into, flat_symbols[behind])))
+            ]
+            flat_orders[ahead] = found[: len(index)] + previous
+            flat_orders[here] = found[len(index) :] + place
+
+    def _spelled(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens with the bytes of characters without a piece in their places, and the new sizes."""
+        at = np.flatnonzero(tokens >= len(self.bytes_of))
+        if not len(at):
+            return tokens, sizes
+        spelled = [[self.byte_ids[b] for b in chr(symbol - len(self.bytes_of)).encode()] for symbol in tokens[at].tolist()]
+        widths = np.ones(len(tokens), np.int64)
+        widths[at] = list(map(len, spelled))
+        ends = np.concatenate(([0], np.cumsum(widths)))
+        out = np.repeat(tokens, widths)
+        out[np.repeat(tokens >= len(self.bytes_of), widths)] = [token for some in spelled for token in some]
+        bounds = ends[np.concatenate(([0], np.cumsum(sizes)))]
+        return out, np.diff(bounds)
 
     def segmented(self, part: str, key: int = 0, threshold: int = 0) -> list[str]:
         """Pieces of one part; candidates whose hash is below ``threshold`` of 2**32 are skipped."""
@@ -329,29 +353,35 @@ class Pieces:
         return self.spelled_out(np.array(tokens, np.int64))[0][1:].tobytes().decode("utf-8", "replace")
 
 
+def _picked(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ``values``, one after the other."""
+    return values[np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)]
+
+
 class Memory:
     """Parts with their tokens and candidates when nothing is skipped."""
 
     def __init__(self):
         self.number: dict[str, int] = {}
-        self.tokens: list[bytes] = []
-        self.starts, self.places, self.into = array("q", [0]), array("q"), array("q")
+        self.tokens, self.bounds = array("i"), array("i", [0])
+        self.starts, self.places, self.into = array("i", [0]), array("B"), array("i")
 
-    def add(self, parts: list[str], tokens: list[bytes], part: np.ndarray, place: np.ndarray, piece: np.ndarray) -> None:
+    def add(self, parts: list[str], tokens: np.ndarray, sizes: np.ndarray, part: np.ndarray, place: np.ndarray, piece: np.ndarray) -> None:
         """``part, place, piece``: the candidates, ordered by part."""
-        self.number.update(zip(parts, range(len(self.tokens), len(self.tokens) + len(parts))))
-        self.tokens += tokens
+        self.number.update(zip(parts, range(len(self.number), len(self.number) + len(parts))))
+        self.tokens.frombytes(tokens.astype(np.int32).tobytes())
+        self.bounds.frombytes((np.cumsum(sizes) + self.bounds[-1]).astype(np.int32).tobytes())
         ends = np.searchsorted(part, np.arange(len(parts)), "right") + self.starts[-1]
-        self.starts.frombytes(ends.astype(np.int64).tobytes())
-        self.places.frombytes(place.astype(np.int64).tobytes())
-        self.into.frombytes(piece.astype(np.int64).tobytes())
+        self.starts.frombytes(ends.astype(np.int32).tobytes())
+        self.places.frombytes(place.astype(np.uint8).tobytes())
+        self.into.frombytes(piece.astype(np.int32).tobytes())
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         return np.fromiter(map(self.number.get, parts, repeat(-1)), np.int64, len(parts))
 
     def skipping(self, numbers: np.ndarray, keys: np.ndarray, threshold: int) -> np.ndarray:
         """Which occurrences skip one of their part's candidates."""
-        starts, places, into = (np.frombuffer(x, np.int64) for x in (self.starts, self.places, self.into))
+        starts, places, into = (np.frombuffer(x, x.typecode) for x in (self.starts, self.places, self.into))
         sizes = starts[numbers + 1] - starts[numbers]
         of = np.repeat(np.arange(len(numbers)), sizes)
         at = np.arange(len(of)) + np.repeat(starts[numbers] - np.cumsum(sizes) + sizes, sizes)
@@ -367,7 +397,7 @@ class Encoder:
         self.seed = seed
         self.threshold = int(min(max(dropout, 0.0), 1.0) * (1 << 32))
         self.memory = Memory()
-        self.meta = array("i", [self.pieces.byte_ids[b] for b in META.encode()]).tobytes()
+        self.meta = np.array([self.pieces.byte_ids[b] for b in META.encode()], np.int32)
 
     def __call__(self, texts: list[str | None], ids: list) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all texts one after the other, and their n + 1 bounds."""
@@ -382,34 +412,40 @@ class Encoder:
         starts = np.cumsum(counts) - counts
         places = np.arange(len(parts)) - np.repeat(starts, counts)
         keys = occurrence_keys(np.repeat(documents, counts), places)
-        tokens: list[bytes] = []
+        runs = [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
         for low in range(0, len(parts), PARTS_TOGETHER):
-            tokens += self._tokens(parts[low : low + PARTS_TOGETHER], keys[low : low + PARTS_TOGETHER])
-        for at in spelled:
-            tokens[at] = self.meta
-        bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens))) // 4))
-        return np.frombuffer(b"".join(tokens), np.int32), bounds[np.append(starts, len(parts))]
-
-    def _tokens(self, parts: list[str], keys: np.ndarray) -> list[bytes]:
-        if len(self.memory.tokens) > REMEMBERED:
+            runs.append(self._tokens(parts[low : low + PARTS_TOGETHER], keys[low : low + PARTS_TOGETHER]))
+        tokens, sizes = (np.concatenate(x) for x in zip(*runs))
+        if spelled:
+            before = np.cumsum(sizes)[spelled]
+            tokens = np.insert(tokens, np.repeat(before, len(self.meta)), np.tile(self.meta, len(before)))
+            sizes[spelled] = len(self.meta)
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        return tokens, bounds[np.append(starts, len(parts))]
+
+    def _tokens(self, parts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all parts one after the other, and the number of each part's."""
+        if len(self.memory.number) > REMEMBERED:
             self.memory = Memory()
         numbers = self.memory.numbers(parts)
         unknown = np.flatnonzero(numbers < 0)
         unmet = [parts[i] for i in unknown.tolist()]
         new = [part for part in dict.fromkeys(unmet) if len(part) <= WIDEST]
         if new:
-            self.memory.add(new, *self.pieces.segmented_together(new, np.zeros(len(new), np.uint64)))
+            self.memory.add(new, *self.pieces.together(new, np.zeros(len(new), np.uint64)))
             numbers[unknown] = self.memory.numbers(unmet)
         own = numbers < 0
         if self.threshold:
             known = np.flatnonzero(~own)
             own[known] = self.memory.skipping(numbers[known], keys[known], self.threshold)
-        tokens = list(map(self.memory.tokens.__getitem__, np.where(own, 0, numbers).tolist())) if self.memory.tokens else [b""] * len(parts)
-        again = np.flatnonzero(own)
-        some = again.tolist()
-        for i, value in zip(some, self.pieces.segmented_together([parts[i] for i in some], keys[again], self.threshold, candidates=False)[0]):
-            tokens[i] = value
-        return tokens
+        again, known = np.flatnonzero(own), np.flatnonzero(~own)
+        drawn, counts, *_ = self.pieces.together([parts[i] for i in again.tolist()], keys[again], self.threshold, candidates=False)
+        remembered, bounds = (np.frombuffer(x, np.int32) for x in (self.memory.tokens, self.memory.bounds))
+        starts, sizes = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        starts[known] = bounds[numbers[known]]
+        sizes[known] = bounds[numbers[known] + 1] - starts[known]
+        starts[again], sizes[again] = len(remembered) + np.cumsum(counts) - counts, counts
+        return _picked(np.concatenate((remembered, drawn)), starts, sizes), sizes
 
     def _parts(self, text: str) -> tuple[list[str], list[int]]:
         """Parts of a text, and the places where the meta symbol itself stands: it is spelled in bytes."""
@@ -453,18 +489,23 @@ def encode(
         if encoder is None:
             _encoders.clear()
             encoder = _encoders[name] = Encoder(sent.value, dropout, seed)
-        for batch in batches:
-            for low, high, _, _ in slices(batch.column(at), BYTES_TOGETHER):
-                part = batch.slice(low, high - low)
-                texts = part.column(at).to_pylist()
-                joined, ends = encoder(texts, part.column(id_at).to_pylist())
-                spelled, bounds = encoder.pieces.spelled_out(joined)
-                # Without the blank that the encoder puts before every text.
-                back = [spelled[bounds[a] + 1 : bounds[b]].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                lossless = [None if t is None else t.encode() == b for t, b in zip(texts, back)]
-                lists = _nulled(list_column(joined, ends), texts)
-                columns = [lists, pa.array([None if t is None else int(x) for t, x in zip(texts, np.diff(ends))], pa.int64()), pa.array(lossless, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
+        try:
+            for batch in received(batches):
+                for low, high, _, _ in slices(batch.column(at), BYTES_TOGETHER):
+                    part = batch.slice(low, high - low)
+                    texts = part.column(at).to_pylist()
+                    joined, ends = encoder(texts, part.column(id_at).to_pylist())
+                    spelled, bounds = encoder.pieces.spelled_out(joined)
+                    # Without the blank that the encoder puts before every text.
+                    back = [spelled[bounds[a] + 1 : bounds[b]].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+                    lossless = [None if t is None else t.encode() == b for t, b in zip(texts, back)]
+                    lists = _nulled(list_column(joined, ends), texts)
+                    columns = [lists, pa.array([None if t is None else int(x) for t, x in zip(texts, np.diff(ends))], pa.int64()), pa.array(lossless, pa.bool_())]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=schema.names)
+                batch = part = None
+        finally:
+            # The worker may wait long for its next task, and other workers for theirs beside it.
+            encoder.memory = Memory()
 
     return kept.mapInArrow(task, schema)
 

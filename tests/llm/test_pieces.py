@@ -150,3 +150,16 @@ def test_tables_of_an_agenda_are_narrow():
             assert together[0] == alone
             plain = model.segmented_together(words, keys, threshold, candidates=False)
             assert plain[0] == alone and len(plain[1]) == 0
+
+
+def test_tokens_of_many_parts_stand_one_after_the_other():
+    model = pieces.Pieces(pieces.read_model())
+    parts = ["", "▁\U0001f600xࠀ", "▁understanding", "a" * 70, "▁", "▁the", "é"]
+    keys = np.arange(len(parts), dtype=np.uint64)
+    for threshold in (0, 1 << 30, 1 << 32):
+        tokens, sizes, *_ = model.together(parts, keys, threshold)
+        ends = np.cumsum(sizes)
+        alone = [model.ids(model.segmented(w, int(k), threshold)) for w, k in zip(parts, keys)]
+        assert [tokens[a:b].tolist() for a, b in zip([0, *ends], ends)] == alone
+    empty = model.together([], keys[:0])
+    assert [len(x) for x in empty] == [0] * 5
