@@ -201,7 +201,7 @@ def _copies(survey: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = sized.groupBy("doc_id").agg(F.min(F.struct("a", "b")).alias("least"), F.max(F.struct("a", "b")).alias("most"))
     several = stored(texts.where("least <> most").select("doc_id"), "ids_of_several_texts")
     if not several.limit(1).count():
-        return copies, survey.sparkSession.createDataFrame([], "node long, component long")
+        return copies, survey.sparkSession.range(0).selectExpr("id AS node", "id AS component")
     tied = copies.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("x"), F.col("node").alias("y"))
     return stored(copies.join(several, "doc_id", "left_anti"), "copies"), components(tied)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termfold.llm.arrays import counted, with_text_columns
+from termfold.llm.arrays import counted, received, slices, with_text_columns
 
 PROFILE_SIZE = 400
 UNDETERMINED = "und"
@@ -89,7 +89,6 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list] = {}
-    waiting = 0
 
     def passed_on() -> Iterator[pa.RecordBatch]:
         for lang, parts in held.items():
@@ -97,18 +96,24 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array([lang] * len(keys)), pa.array(keys), pa.array(counts)], ["lang", "ngram", "n"])
         held.clear()
 
-    for batch in batches:
-        by_lang: dict[str, list[str]] = {}
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            by_lang.setdefault(lang, []).append(text)
-        for lang, texts in by_lang.items():
-            parts = [counted(ngrams(text)) for text in texts]
-            parts = [part for part in parts if len(part[0])]
-            if parts:
-                held[lang] = [_merged(held.get(lang, []) + parts)]
-        waiting = sum(len(parts[0][0]) for parts in held.values())
-        if waiting > HELD_COUNTS:
-            yield from passed_on()
+    for batch in received(batches):
+        for low, high, _, _ in slices(batch.column(0)):
+            some = batch.slice(low, high - low)
+            by_lang: dict[str, list[str]] = {}
+            for text, lang in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                by_lang.setdefault(lang, []).append(text)
+            for lang, texts in by_lang.items():
+                parts = [counted(ngrams(text)) for text in texts]
+                parts = [part for part in parts if len(part[0])]
+                if parts:
+                    held.setdefault(lang, []).append(_merged(parts))
+            # What was added is merged in when it has grown as large as what it is added to.
+            for lang, parts in held.items():
+                if sum(len(keys) for keys, _ in parts[1:]) > len(parts[0][0]):
+                    held[lang] = [_merged(parts)]
+            if sum(len(keys) for parts in held.values() for keys, _ in parts) > HELD_COUNTS:
+                yield from passed_on()
+        batch = some = None
     yield from passed_on()
 
 
@@ -158,7 +163,7 @@ def identify(docs: DataFrame, profiles: Profiles, size: int = PROFILE_SIZE) -> D
 
     def added(texts: pa.Array) -> list[pa.Array]:
         nearest = Nearest(profiles, size)
-        found = [nearest(text) for text in texts.to_pylist()]
+        found = [nearest(text) for low, high, _, _ in slices(texts) for text in texts.slice(low, high - low).to_pylist()]
         return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
 
     return with_text_columns(docs, added, "lang_pred string, score double")

@@ -245,6 +245,10 @@ def _rest(text: str, gone: set[int]) -> str:
     return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
 
 
+# A filter on the text would otherwise be moved below it with a copy of the function, and every task would run it twice.
+_without = _without.asNondeterministic()
+
+
 def dedup_lines(docs: DataFrame, near_words: int = NEAR_WORDS, copy_share: float | None = None) -> DataFrame:
     """``docs`` without the lines that repeat earlier ones; adds ``n_lines`` (of the text before) and ``n_removed``.
 

@@ -1,6 +1,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,3 +48,25 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     right = found.where("held_out").join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
+
+
+def test_a_batch_is_counted_in_slices():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    draw = np.random.default_rng(1)
+    texts = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz "), 4000)) for _ in range(1500)]
+    batch = pa.record_batch([pa.array(texts), pa.array(["en"] * len(texts))], ["text", "lang"])
+    list(langid._count_task(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    out = list(langid._count_task(iter([batch.slice(0, 0), batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    keys, counts = np.unique(np.concatenate([langid.ngrams(t) for t in texts]), return_counts=True)
+    found = {}
+    for rows in out:
+        for key, n in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist()):
+            found[key] = found.get(key, 0) + n
+    assert found == dict(zip(keys.tolist(), counts.tolist()))
+    assert peak < 150e6, peak

@@ -131,3 +131,10 @@ def test_run_on_empty_and_repeated_rows(spark, tmp_path):
         twice.setdefault((r.doc_id, r.text), []).append(r.tokens)
     assert rows and all(len(t) == 2 and t[0] == t[1] for t in twice.values())
     assert len({t for _, t in twice}) == len(twice)
+
+
+def test_lines_are_taken_from_a_text_once(spark, capsys):
+    rows = [(i, f"line of text number {i}\nthe same long line in all of them\n", "en", "web", 0) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    corpus_pipeline.line_dedup(spark, docs, "").explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython [_without") == 1
