@@ -12,6 +12,7 @@ from termfold import values as v
 from termfold.functions import scoring, stemming, tokens
 from termfold.operators.lookup import locate_words, secondary_lookup
 from termfold.operators.ranking import ranked
+from termfold.operators.results import result_lists
 from termfold.plans.index_build import Index
 from termfold.session import scratch_run, stored
 
@@ -151,25 +152,23 @@ def result_documents(
     error document.
     """
     number = F.floor((F.col("rank") - 1) / results_per_document)
-    results = F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", "key", "score"))),
-        lambda hit: F.struct(hit["key"].alias("key"), hit["score"].alias("score")),
-    )
-    sizes = ranked_scores.groupBy("query_id").agg((F.floor((F.max("rank") - 1) / results_per_document) + 1).alias("documents"))
+    sizes = ranked_scores.groupBy("query_id").agg((F.max(number) + 1).alias("documents"), F.count("*").alias("hits"))
     # One row per query that found something, read by two joins.
     sizes = stored(sizes, "result_sizes")
-    hits = (
-        ranked_scores.withColumn("document", number)
-        .groupBy("query_id", "document")
-        .agg(results.alias("results"))
-        .join(sizes, "query_id")
+    hits = result_lists(
+        ranked_scores.select("query_id", number.alias("document"), "rank", "key", "score"),
+        sizes.agg(F.sum("hits")).first()[0] or 0,
     )
     text = F.col("query").alias("string")
-    success = F.to_json(F.struct(text, F.lit("success").alias("status"), "results"))
+    # The object up to its closing brace, as to_json writes it, and the list that is text already.
+    head = F.to_json(F.struct(text, F.lit("success").alias("status")))
+    head = head.substr(F.lit(1), F.length(head) - 1)
+    success = F.concat(head, F.lit(',"results":['), F.col("results"), F.lit("]}"))
     error = F.to_json(
         F.struct(text, F.lit("error").alias("status"), F.lit(v.NOTHING_FOUND).alias("message"))
     )
-    answers = queries.join(hits, "query_id").select("query_id", "document", "documents", success.alias("json"))
+    # The documents stand on the left: a merge join keeps the rows of a key that come from the right.
+    answers = hits.join(sizes, "query_id").join(queries, "query_id").select("query_id", "document", "documents", success.alias("json"))
     return answers.unionByName(
         _unanswered(queries, sizes).select(
             "query_id", F.lit(0).cast("long").alias("document"), F.lit(1).cast("long").alias("documents"), error.alias("json")

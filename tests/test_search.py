@@ -1,11 +1,12 @@
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from termfold import values as v
-from termfold.operators import postings
+from termfold.operators import postings, results
 from termfold.plans import index_build, search
 from termfold.session import scratch_folder, scratch_run, stored
 
@@ -159,6 +160,76 @@ def test_long_results_come_in_parts(spark, index):
     assert keys == [order[:2], order[2:]]
 
 
+def test_hits_are_not_collected_by_the_tasks(spark, index, monkeypatch):
+    """An aggregate that collects holds the hits of up to 128 documents in a task, however long they are."""
+    asked = queries(spark, "sun space cats", "nothing", "sun")
+    ranked = stored(search.rank_results(search.search(asked, index)), "ranked")
+    monkeypatch.setattr(results, "HITS_PER_TASK", 2)
+    plan = search.result_documents(asked, ranked)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+    # Five hits: as many tasks as these take, which are not put together again.
+    assert ranked.count() == 5 and "3), REPARTITION_BY_NUM" in plan
+
+
+def test_runs_are_joined_as_they_come():
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())],
+            names=["query_id", "document", "hit"],
+        )
+
+    given = [
+        batch((None, 0, "a"), ("p", 0, "b")), batch(("p", 0, "c"), ("p", 0, "d")), batch(),
+        batch(("p", 0, "e"), ("p", 1, "f"), ("q", 1, "g")), batch(("r", 1, "h")),
+    ]
+    read = []
+
+    def batches():
+        for i, rows in enumerate(given):
+            read.append(i)
+            yield rows
+
+    found = [(len(read), tuple(row.values())) for made in results.joined_runs(batches()) for row in made.to_pylist()]
+    # With each document, how many batches were read by then.
+    assert found == [
+        (1, (None, 0, "a")), (4, ("p", 0, "b,c,d,e")), (4, ("p", 1, "f")), (5, ("q", 1, "g")), (5, ("r", 1, "h")),
+    ]
+    assert list(results.joined_runs(iter([]))) == []
+
+
+@pytest.mark.parametrize("rows, large", [(1, "false"), (2, "false"), (3, "true"), (10_000, "false")])
+def test_documents_of_odd_queries_over_several_batches(spark, rows, large):
+    asked = spark.createDataFrame(
+        [("a", 'say "x"\n\\ñ }'), ("b", None), ("c", "none"), (None, "null id"), ("d", "twice"), ("d", "again")], "query_id string, query string"
+    )
+    hits = [(q, f'k"{r}', 10 * r, r) for q, n in [("a", 5), ("b", 2), ("d", 1), (None, 3), ("not asked", 2)] for r in range(1, n + 1)]
+    # Ranks may have gaps: what is left of a query can be its second document alone.
+    hits += [("e", "late", None, 4), ("f", None, 7, 5)]
+    asked = asked.unionByName(spark.createDataFrame([("e", "E"), ("f", "F")], asked.schema))
+    ranked = spark.createDataFrame(hits[::-1], "query_id string, key string, score long, rank long")
+    conf = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.useLargeVarTypes": large}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        found = search.result_documents(asked, ranked, results_per_document=3).collect()
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
+    lists = {}
+    for q, key, score, rank in sorted(hits, key=lambda hit: hit[3]):
+        hit = {name: value for name, value in (("key", key), ("score", score)) if value is not None}
+        lists.setdefault((q, (rank - 1) // 3), []).append(hit)
+    expected = []
+    for q, text in asked.collect():
+        string = {} if text is None else {"string": text}
+        of_query = sorted(d for asked_id, d in lists if asked_id == q and q is not None)
+        documents = max(of_query, default=0) + 1
+        expected += [(q, d, documents, json.dumps(string | {"status": "success", "results": lists[q, d]}, separators=(",", ":"), ensure_ascii=False)) for d in of_query]
+        if not of_query:
+            expected.append((q, 0, 1, json.dumps(string | {"status": "error", "message": v.NOTHING_FOUND}, separators=(",", ":"), ensure_ascii=False)))
+    assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+
+
 def test_result_file_and_listing(spark, index, tmp_path, capsys):
     asked = search.single_query(spark, "sun")
     ranked = search.rank_results(search.search(asked, index))
