@@ -18,6 +18,8 @@ from termfold.session import reused, scratch_run, stored
 
 # Postings one task writes to a batch, some hundred megabytes before compression.
 POSTINGS_PER_FILE = 10_000_000
+# Bytes of a row group before compression, some hundred thousand postings: what a reader unpacks together.
+ROW_GROUP_BYTES = 8 << 20
 
 POSTING_TYPE = ", ".join(["doc_id: string", *[f"{name}: bigint" for name in scoring.COUNTS]])
 PRIMARY_SCHEMA = f"Word string, segment int, Postings array<struct<{POSTING_TYPE}>>, batch int"
@@ -114,12 +116,17 @@ def write_primary(postings: DataFrame, path: str) -> None:
     A batch is written by as many tasks as it has chunks and parts, so neither a
     large batch nor a frequent word ends up in one task. The whole table is
     replaced: batches of an earlier, larger run do not stay behind.
+
+    Readers unpack up to 4096 rows of a row group at once, which are all the postings of a file if its lists are long.
+    Sizes are looked at from the first row on, not after the usual 100: these may be 100 lists of ``segment_size``.
     """
     (
         postings.repartition("batch", "chunk", "part")
         .drop("chunk", "part")
         .sortWithinPartitions("batch", "Word", "segment")
         .write.partitionBy("batch")
+        .option("parquet.block.size", ROW_GROUP_BYTES)
+        .option("parquet.page.size.row.check.min", 1)
         .mode("overwrite")
         .parquet(path)
     )

@@ -4,6 +4,7 @@ import bisect
 import os
 import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -164,6 +165,24 @@ def test_large_batches_and_frequent_words_are_written_by_many_tasks(spark, tmp_p
     assert sorted(primary.select(as_built.columns).collect()) == sorted(as_built.collect())
 
 
+def test_long_lists_are_not_unpacked_together(spark, tmp_path):
+    """A reader makes arrays of all rows of a row group, up to 4096; a file may hold ten million postings."""
+    zeros = ", ".join(f"0L AS {field.lower()}" for field in v.FIELDS[1:])
+    posting = f"struct(cast(x * 1000003 AS string) AS doc_id, x AS {v.FIELDS[0].lower()}, {zeros})"
+    lists = spark.range(20).selectExpr(
+        "0 AS batch", "0L AS chunk", "0L AS part", "concat('w', id) AS Word", "0 AS segment",
+        f"transform(sequence(id, id + 49999), x -> {posting}) AS Postings",
+    )
+    index_build.write_primary(lists, f"{tmp_path}/primary")
+    (file,) = (tmp_path / "primary" / "batch=0").glob("*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    groups = [groups.row_group(i) for i in range(groups.num_row_groups)]
+    postings_of = [max(group.column(i).num_values for i in range(group.num_columns)) for group in groups]
+    assert sum(postings_of) == 20 * 50_000 and max(postings_of) <= 500_000
+    written = index_build.read_index(spark, str(tmp_path)).primary
+    assert written.select("Word", "Postings").exceptAll(lists.select("Word", "Postings")).isEmpty() and written.count() == 20
+
+
 def test_chunks_hold_consecutive_words_of_bounded_postings(spark):
     rows = [(f"w{i:02d}", 3 if i != 5 else 1000, 0) for i in range(20)]
     words = spark.createDataFrame(rows, "Word string, documents long, batch int")
