@@ -17,10 +17,17 @@ from termfold.session import ship_package
 HITS_PER_TASK = 500_000
 
 
+def differs(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before."""
+    if pa.types.is_nested(column.type):  # has no codes
+        values = column.to_pylist()
+        return np.array([value != before for before, value in zip(values, values[1:])], dtype=bool)
+    return np.diff(column.dictionary_encode("encode").indices.to_numpy()) != 0
+
+
 def run_starts(keys: pa.RecordBatch) -> np.ndarray:
     """Places of rows that differ from the row before; the first row is one."""
-    codes = [column.dictionary_encode("encode").indices.to_numpy() for column in keys.columns]
-    return np.append(0, np.flatnonzero(np.any([np.diff(code) != 0 for code in codes], axis=0)) + 1)
+    return np.append(0, np.flatnonzero(np.any([differs(column) for column in keys.columns], axis=0)) + 1)
 
 
 def joined_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -197,6 +197,14 @@ def test_runs_are_joined_as_they_come():
     assert list(results.joined_runs(iter([]))) == []
 
 
+def test_query_ids_may_be_structs(spark):
+    asked = spark.sql("SELECT struct(id % 2 AS a, 'x' AS b) AS query_id, concat('text ', id) AS query FROM range(3)").where("query <> 'text 2'")
+    ranked = spark.sql("SELECT struct(id % 2 AS a, 'x' AS b) AS query_id, cast(id AS string) AS key, id AS score, (id DIV 2) + 1 AS rank FROM range(8)")
+    found = search.result_documents(asked, ranked, results_per_document=3).collect()
+    keys = {(r.query_id.a, r.document): [hit["key"] for hit in json.loads(r.json)["results"]] for r in found}
+    assert keys == {(0, 0): ["0", "2", "4"], (0, 1): ["6"], (1, 0): ["1", "3", "5"], (1, 1): ["7"]}
+
+
 @pytest.mark.parametrize("rows, large", [(1, "false"), (2, "false"), (3, "true"), (10_000, "false")])
 def test_documents_of_odd_queries_over_several_batches(spark, rows, large):
     asked = spark.createDataFrame(
